@@ -126,8 +126,9 @@ def effective_join(
 
     An account row is in force from ``effective_from`` on; ``effective_to``
     counts only with ``use_effective_to`` (NULL is open), so by default a fact
-    meets every period that began before it. Accounts are few and facts pile up
-    on them; the joins spread such accounts when they cannot broadcast."""
+    meets every period that began before it. Accounts and contracts are joined
+    first, so the facts are moved at most once; accounts are few and facts pile
+    up on them, so those that are hot are spread."""
     dim = accounts.select(
         F.col("account_id").alias("dim_account_id"),
         "product_line_id",
@@ -142,9 +143,9 @@ def effective_join(
         in_force = in_force & (F.col("effective_to").isNull() | (F.col("data_date") <= F.col("effective_to")))
     signed = contracts.select(F.col("bi_account_id").alias("contract_account_id"), "contract_id")
     closed = facts.where(F.col("data_date") <= F.date_sub(as_date(as_of), 1))
-    with_account = lookup_join(closed, dim, "account_id", "dim_account_id", "inner", in_force)
-    with_contract = lookup_join(with_account, signed, "bi_account_id", "contract_account_id", "inner")
-    return with_contract.select(
+    signed_accounts = lookup_join(dim, signed, "bi_account_id", "contract_account_id", "inner")
+    matched = lookup_join(closed, signed_accounts, "account_id", "dim_account_id", "inner", in_force)
+    return matched.select(
         F.col("data_date").alias("data_ts"),
         "product_line_id",
         "network_name_id",

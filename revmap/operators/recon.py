@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revmap.functions.columns import all_of, any_of, sentinel, zero_if_null
+from revmap.functions.columns import all_of, sentinel, zero_if_null
 from revmap.functions.dates import as_date
 from revmap.schemas import KEYS, MEASURES
 
@@ -48,14 +48,14 @@ def paired(
         stacked = left.select(*named, *measures, F.lit(True).alias("in_left")).unionByName(
             right.select(*named, *measures, F.lit(False).alias("in_left"))
         )
-        in_left = F.col("in_left")
-        sums = []
-        for x in measures:
-            sums.append(zero_if_null(F.sum(F.when(in_left, F.col(x)))).alias(f"{a}_{x}"))
-            sums.append(zero_if_null(F.sum(F.when(~in_left, F.col(x)))).alias(f"{b}_{x}"))
-        grouped = stacked.groupBy(*keys).agg(
-            F.bool_or(in_left).alias(flags[0]), F.bool_or(~in_left).alias(flags[1]), *sums
-        )
+        sides = [(a, "in_left"), (b, "NOT in_left")]
+        present = [F.expr(f"bool_or({test}) AS {name}_records_present") for name, test in sides]
+        sums = [
+            F.expr(f"coalesce(sum(CASE WHEN {test} THEN `{x}` END), 0) AS `{name}_{x}`")
+            for x in measures
+            for name, test in sides
+        ]
+        grouped = stacked.groupBy(*keys).agg(*present, *sums)
         return grouped.select(*flags, *keys, *[f"{n}_{x}" for x in measures for n in names])
     if method == "join":
 
@@ -75,9 +75,9 @@ def paired(
     raise ValueError(f"method must be aggregate or join, not {method}")
 
 
-def _differs(measures: list[str], names: tuple[str, str], tol: float):
+def _differs(measures: list[str], names: tuple[str, str], tol: float) -> Column:
     a, b = names
-    return any_of(F.abs(F.col(f"{a}_{x}") - F.col(f"{b}_{x}")) > F.lit(tol) for x in measures)
+    return F.expr(" OR ".join(f"abs(`{a}_{x}` - `{b}_{x}`) > {tol!r}D" for x in measures))
 
 
 def diff(

@@ -6,10 +6,12 @@ proves it. So:
 
 * a side is broadcast only when the optimiser's size estimate is within the
   session's broadcast threshold;
-* otherwise both sides are shuffled, and only the rows of *hot* keys are spread
-  over salts. A hot key holds more than 1/64 of the rows, so there are fewer
-  than 64 of them whatever the data, and their list can always be broadcast.
-  NULL keys never match, and are spread as well.
+* otherwise both sides are shuffled, and the rows of *hot* keys are spread over
+  salts. A hot key holds more than 1/64 of the rows, so there are fewer than 64
+  of them whatever the data, and their list can always come to the driver. They
+  are counted first, each task combining its own rows, and the join then
+  carries them as literals: no key is hot on one side and not on the other, also
+  in a task that runs again. Without hot keys it is a plain join.
 
 Salts depend on the row and on the partition it is read from, not on a random
 number: a task that runs again after a lost executor sends every row to the
@@ -21,8 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in HOT_SHARE.
+# A key is hot when it holds more than one row in HOT_SHARE, and more than
+# HOT_ROWS rows, which one task can always take.
 HOT_SHARE = 64
+HOT_ROWS = 1_000_000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -45,12 +49,12 @@ def spread(df: DataFrame, n: int) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), F.lit(n)).cast("int")
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """The non-null keys that hold more than 1/HOT_SHARE of the keyed rows: one
-    column ``hot_key``, fewer than HOT_SHARE rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
+def hot_keys(df: DataFrame, key: str) -> list:
+    """The hot keys of ``df``, fewer than HOT_SHARE; None stands for NULL."""
+    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") * HOT_SHARE > total).select("hot_key")
+    hot = counts.where((F.col("n") > HOT_ROWS) & (F.col("n") * HOT_SHARE > total))
+    return [row.hot_key for row in hot.collect()]
 
 
 def lookup_join(
@@ -68,23 +72,16 @@ def lookup_join(
     side = side.where(F.col(side_key).isNotNull())
     if fits_broadcast(side):
         return big.join(F.broadcast(side), condition, how)
+    hot = hot_keys(big, big_key)
+    if not hot:
+        return big.join(side, condition, how)
 
     n = partitions(big)
-    hot = hot_keys(big, big_key)
-    in_hot = F.col("hot_key").isNotNull()
-    salted = (
-        big.join(F.broadcast(hot), F.col(big_key) == F.col("hot_key"), "left")
-        .withColumn("big_salt", F.when(in_hot | F.col(big_key).isNull(), spread(big, n)).otherwise(0))
-        .drop("hot_key")
-    )
-    copies = (
-        side.join(F.broadcast(hot), F.col(side_key) == F.col("hot_key"), "left")
-        .withColumn(
-            "side_salt",
-            F.explode(F.when(in_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("hot_key")
-    )
+    keys = [k for k in hot if k is not None]
+    is_hot = F.coalesce(F.col(big_key).isin(keys), F.lit(None in hot))
+    salted = big.withColumn("big_salt", F.when(is_hot, spread(big, n)).otherwise(0))
+    salts = F.when(F.col(side_key).isin(keys), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    copies = side.withColumn("side_salt", F.explode(salts))
     joined = salted.join(copies, condition & (F.col("big_salt") == F.col("side_salt")), how)
     return joined.drop("big_salt", "side_salt")
 

@@ -343,7 +343,7 @@ _DEV = """dev AS (
   SELECT * REPLACE (
     CAST(network_gross_revenue + if(business_unit_name = 'MACHINERY' AND product_line_name = 'ASIA', 1, 0)
          AS DECIMAL(18,4)) AS network_gross_revenue,
-    CAST(commission_amount + if(business_unit_name = 'FURNITURE', 0.0100, 0.0000) AS DECIMAL(18,4)) AS commission_amount)
+    CAST(commission_amount + if(business_unit_name = 'FURNITURE', 0.0050, 0.0000) AS DECIMAL(18,4)) AS commission_amount)
   FROM rev WHERE network_name <> 'NATION_9')"""
 
 
@@ -351,7 +351,7 @@ def _grouped(name: str, source: str, where: str) -> str:
     keys = ", ".join(
         f"coalesce({k}, DATE '2010-01-01') AS {k}" if k == "data_month" else f"coalesce({k}, 'N/A') AS {k}" for k in KEYS
     )
-    sums = ", ".join(f"sum({x}) AS {x}" for x in MEASURES)
+    sums = ", ".join(f"sum(CAST({x} AS DOUBLE)) AS {x}" for x in MEASURES)
     return f"{name} AS (SELECT {keys}, {sums} FROM {source} WHERE {where} GROUP BY ALL)"
 
 

@@ -93,31 +93,31 @@ def _mapped(spark, sf, m, **kw):
 
 @query
 def mapped_view(spark, sf):
-    return doubles(_mapped(spark, sf, v.mapping_dirty(spark, sf)))
+    return _mapped(spark, sf, v.mapping_dirty(spark, sf))
 
 
 @query
 def mapped_view_month(spark, sf):
     """The same by a given month, one row per ID whatever the mapping repeats."""
     m = v.mapping_dirty(spark, sf)
-    return doubles(mp.map_revenue(_month_revenue(spark, sf), m, month=MONTH[0], on_duplicate="first"))
+    return mp.map_revenue(_month_revenue(spark, sf), m, month=MONTH[0], on_duplicate="first")
 
 
 @query
 def mapped_view_flags(spark, sf):
     """Four months back, seen from four months later."""
     r = _month_revenue(spark, sf)
-    return doubles(mp.map_revenue(r, v.mapping_dirty(spark, sf), as_of="1998-05-31", months_back=4, flags=True))
+    return mp.map_revenue(r, v.mapping_dirty(spark, sf), as_of="1998-05-31", months_back=4, flags=True)
 
 
 @query
 def mapping_master_view(spark, sf):
-    return doubles(_mapped(spark, sf, v.mapping_dirty(spark, sf), master="mapping"))
+    return _mapped(spark, sf, v.mapping_dirty(spark, sf), master="mapping")
 
 
 @query
 def mapped_inner(spark, sf):
-    return doubles(_mapped(spark, sf, v.mapping_dirty(spark, sf), how="inner", master="mapping"))
+    return _mapped(spark, sf, v.mapping_dirty(spark, sf), how="inner", master="mapping")
 
 
 # Coverage
@@ -158,16 +158,14 @@ def mapping_success(spark, sf):
 
 @query
 def unmapped_revenue(spark, sf):
-    return doubles(mp.unmapped_revenue(_month_revenue(spark, sf), v.mapping_dirty(spark, sf), as_of=AS_OF))
+    return mp.unmapped_revenue(_month_revenue(spark, sf), v.mapping_dirty(spark, sf), as_of=AS_OF)
 
 
 @query
 def unmapped_totals(spark, sf):
-    return doubles(
-        mp.unmapped_totals(
-            _month_revenue(spark, sf), v.mapping_dirty(spark, sf), as_of=AS_OF, measure="network_gross_revenue"
-        )
-    )
+    r = v.exact(_month_revenue(spark, sf), ["network_gross_revenue"])
+    m = v.mapping_dirty(spark, sf)
+    return doubles(mp.unmapped_totals(r, m, as_of=AS_OF, measure="network_gross_revenue"))
 
 
 @query
@@ -193,8 +191,9 @@ def merged_duplicates(spark, sf):
 
 @query
 def revenue_by_mapping(spark, sf):
-    m = v.mapping_dirty(spark, sf)
-    return doubles(cov.revenue_by_mapping(_mapped(spark, sf, m), "network_gross_revenue"))
+    r = v.exact(_month_revenue(spark, sf), ["network_gross_revenue"])
+    view = mp.map_revenue(r, v.mapping_dirty(spark, sf), as_of=AS_OF)
+    return doubles(cov.revenue_by_mapping(view, "network_gross_revenue"))
 
 
 @query
@@ -211,7 +210,7 @@ def merged_report(spark, sf):
 @query
 def merged_preview(spark, sf):
     m = v.mapping_dirty(spark, sf)
-    return doubles(dq.preview(_mapped(spark, sf, m, on_duplicate="first"), texts.MERGED_PREVIEW, order_by="id"))
+    return dq.preview(_mapped(spark, sf, m, on_duplicate="first"), texts.MERGED_PREVIEW, order_by="id")
 
 
 @query
@@ -227,29 +226,27 @@ def month_bounds(spark, sf):
 # Reconciliation
 @query
 def recon_diff(spark, sf):
-    return doubles(recon.diff(v.dev(spark, sf), v.prod(spark, sf)))
+    return recon.diff(v.dev(spark, sf), v.prod(spark, sf))
 
 
 @query
 def recon_diff_join(spark, sf):
     """The same through a full outer join."""
-    return doubles(recon.diff(v.dev(spark, sf), v.prod(spark, sf), method="join"))
+    return recon.diff(v.dev(spark, sf), v.prod(spark, sf), method="join")
 
 
 @query
 def recon_diff_range(spark, sf):
     """The same between two months, both left out."""
-    return doubles(
-        recon.diff(
-            recon.date_range(v.dev(spark, sf), "1997-01-01", "1997-06-01", lo_inclusive=False),
-            recon.date_range(v.prod(spark, sf), "1997-01-01", "1997-06-01", lo_inclusive=False),
-        )
+    return recon.diff(
+        recon.date_range(v.dev(spark, sf), "1997-01-01", "1997-06-01", lo_inclusive=False),
+        recon.date_range(v.prod(spark, sf), "1997-01-01", "1997-06-01", lo_inclusive=False),
     )
 
 
 @query
 def recon_diff_identity(spark, sf):
-    return doubles(recon.diff(v.prod(spark, sf), v.prod(spark, sf)))
+    return recon.diff(v.prod(spark, sf), v.prod(spark, sf))
 
 
 @query
@@ -259,12 +256,12 @@ def recon_counts(spark, sf):
 
 @query
 def contract_rows(spark, sf):
-    return doubles(recon.contract_rows(v.revenue(spark, sf), 210, "1997-04-01", "1997-06-01"))
+    return recon.contract_rows(v.revenue(spark, sf), 210, "1997-04-01", "1997-06-01")
 
 
 @query
 def contract_month_rows(spark, sf):
-    return doubles(recon.contract_rows(v.revenue(spark, sf), 211, month="1997-06-01"))
+    return recon.contract_rows(v.revenue(spark, sf), 211, month="1997-06-01")
 
 
 # Rebuilding a revenue source
@@ -333,7 +330,8 @@ def month_revenue_total(spark, sf):
 
 # Files. The views are written below the shared scratch folder and read back.
 def _flagged(spark, sf):
-    return _mapped(spark, sf, v.mapping_dirty(spark, sf), flags=True)
+    r = v.exact(_month_revenue(spark, sf))
+    return mp.map_revenue(r, v.mapping_dirty(spark, sf), as_of=AS_OF, flags=True)
 
 
 def _stored_flagged(spark, sf, root):
@@ -605,7 +603,7 @@ def partitioned_revenue(spark, sf):
     one folder."""
     path = scratch_dir(spark, "revenue")
     stored = tb.reload_table(v.revenue(spark, sf), path, partition_by="data_month")
-    return doubles(mp.map_revenue(stored, v.mapping(spark, sf), as_of=AS_OF).drop("aggregation_source"))
+    return mp.map_revenue(stored, v.mapping(spark, sf), as_of=AS_OF).drop("aggregation_source")
 
 
 @query

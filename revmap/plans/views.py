@@ -1,20 +1,35 @@
 """The relations this library works on, derived from the order, customer and
 event tables of a TPC-H-like data set. Every view reads whole tables.
 
-Money is added up in whole cents and becomes a decimal afterwards: exact in any
-order, and a plain long sum in the generated code."""
+Money is added up in whole cents and divided afterwards: exact in any order, and
+a plain long sum in the generated code. Tables are read with a given schema,
+which saves a look into their files; wide projections are SQL text, which saves
+a call to the JVM per column."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date
 from revmap.operators.rebuild import label_accounts
-from revmap.schemas import MAPPING_COLS, REVENUE_COLS
-
+from revmap.schemas import MAPPING_COLS, MEASURES, REVENUE_COLS
+
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 AS_OF = "1998-02-15"
 MONTH = (dt.date(1998, 1, 1), dt.date(1998, 2, 1))
 EVENTS_AS_OF = "2024-01-31"
@@ -29,15 +44,48 @@ SOURCE = "manual revenue"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _cents(name: str) -> Column:
-    return F.rint(F.col(name) * 100).cast("bigint")
-
-
-def _amount(column: Column, scale: int) -> Column:
-    return (column.cast("decimal(20,0)") / F.lit(10**scale).cast("decimal(20,0)")).cast("decimal(18,4)")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+# The revenue columns over one row per customer and month.
+_REVENUE = {
+    "id": "concat('C.', c_custkey)",
+    "data_month": "data_month",
+    "business_unit_name": "c_mktsegment",
+    "business_unit_detail_name": "r_name",
+    "product_line_id": "string(r_regionkey)",
+    "product_line_name": "r_name",
+    "parent_partner_id": "double(n_nationkey)",
+    "parent_partner_name": "n_name",
+    "partner_id": "string(c_custkey)",
+    "partner_name": "c_name",
+    "drid": "string(NULL)",
+    "contract_id": "string(n_nationkey + 200)",
+    "contract_name": "concat('Contract ', n_name)",
+    "gam_advertiser_level1": "string(NULL)",
+    "gam_advertiser_level2": "string(NULL)",
+    "network_name_id": "string(n_nationkey)",
+    "network_name": "n_name",
+    "network_classification_name": "r_name",
+    "network_classification_subtype": "c_mktsegment",
+    "network_feed_id": "CASE WHEN c_acctbal >= 1000 THEN string(n_nationkey) END",
+    "markup_percent": "taxes / 100D",
+    "net_percent": "discounts / 100D",
+    "revshare_percent": "CASE WHEN c_mktsegment <> 'BUILDING' THEN 10D END",
+    "bad_debt_percent": "double(NULL)",
+    "management_percent": "double(NULL)",
+    "impressions": "double(quantity)",
+    "clicks": "double(lines)",
+    "network_gross_revenue": "price / 100D",
+    "network_revshare": "discounted / 10000D",
+    "s1_gross_revenue": "(price * 100 - discounted) / 10000D",
+    "managment_fee": "double(NULL)",
+    "partner_revshare": "discounted / 10000D",
+    "holdback_revenue": "0D",
+    "partner_gross_revenue": "price / 100D",
+    "commission_amount": "taxed / 10000D",
+    "aggregation_source": "'orders'",
+}
 
 
 def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
@@ -52,115 +100,82 @@ def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.
         orders = orders.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
     if hi is not None:
         orders = orders.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
-    per_order = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count("*").alias("lines"),
-            F.sum(F.rint("l_quantity").cast("bigint")).alias("quantity"),
-            F.sum(_cents("l_discount")).alias("discounts"),
-            F.sum(_cents("l_tax")).alias("taxes"),
-            F.sum(_cents("l_extendedprice")).alias("price"),
-            F.sum(_cents("l_extendedprice") * _cents("l_discount")).alias("discounted"),
-            F.sum(_cents("l_extendedprice") * _cents("l_tax")).alias("taxed"),
-        )
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "bigint(rint(l_quantity)) AS quantity",
+        "bigint(rint(l_extendedprice * 100)) AS price",
+        "bigint(rint(l_discount * 100)) AS discount",
+        "bigint(rint(l_tax * 100)) AS tax",
+    )
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.expr("count(*) AS lines"),
+        F.expr("sum(quantity) AS quantity"),
+        F.expr("sum(discount) AS discounts"),
+        F.expr("sum(tax) AS taxes"),
+        F.expr("sum(price) AS price"),
+        F.expr("sum(price * discount) AS discounted"),
+        F.expr("sum(price * tax) AS taxed"),
     )
     sums = ["lines", "quantity", "discounts", "taxes", "price", "discounted", "taxed"]
     monthly = (
-        orders.select("o_orderkey", "o_custkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("data_month"))
+        orders.selectExpr("o_orderkey", "o_custkey", "trunc(date(o_orderdate), 'MM') AS data_month")
         .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey", "data_month")
         .agg(*[F.sum(c).alias(c) for c in sums])
     )
-    named = (
-        monthly.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    # Nations are few: joined to customers, not to revenue, they move little.
+    who = (
+        table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    text = "string"
-    missing = F.lit(None).cast("decimal(18,4)")
-    columns = {
-        "id": F.concat(F.lit("C."), F.col("c_custkey").cast(text)),
-        "data_month": F.col("data_month"),
-        "business_unit_name": F.col("c_mktsegment"),
-        "business_unit_detail_name": F.col("r_name"),
-        "product_line_id": F.col("r_regionkey").cast(text),
-        "product_line_name": F.col("r_name"),
-        "parent_partner_id": _amount(F.col("n_nationkey"), 0),
-        "parent_partner_name": F.col("n_name"),
-        "partner_id": F.col("c_custkey").cast(text),
-        "partner_name": F.col("c_name"),
-        "drid": F.lit(None).cast(text),
-        "contract_id": (F.col("n_nationkey") + 200).cast(text),
-        "contract_name": F.concat(F.lit("Contract "), F.col("n_name")),
-        "gam_advertiser_level1": F.lit(None).cast(text),
-        "gam_advertiser_level2": F.lit(None).cast(text),
-        "network_name_id": F.col("n_nationkey").cast(text),
-        "network_name": F.col("n_name"),
-        "network_classification_name": F.col("r_name"),
-        "network_classification_subtype": F.col("c_mktsegment"),
-        "network_feed_id": F.when(F.col("c_acctbal") >= 1000, F.col("n_nationkey").cast(text)),
-        "markup_percent": _amount(F.col("taxes"), 2),
-        "net_percent": _amount(F.col("discounts"), 2),
-        "revshare_percent": F.when(F.col("c_mktsegment") != "BUILDING", F.lit(10).cast("decimal(18,4)")),
-        "bad_debt_percent": missing,
-        "management_percent": missing,
-        "impressions": _amount(F.col("quantity"), 0),
-        "clicks": _amount(F.col("lines"), 0),
-        "network_gross_revenue": _amount(F.col("price"), 2),
-        "network_revshare": _amount(F.col("discounted"), 4),
-        "s1_gross_revenue": _amount(F.col("price") * 100 - F.col("discounted"), 4),
-        "managment_fee": missing,
-        "partner_revshare": _amount(F.col("discounted"), 4),
-        "holdback_revenue": F.lit(0).cast("decimal(18,4)"),
-        "partner_gross_revenue": _amount(F.col("price"), 2),
-        "commission_amount": _amount(F.col("taxed"), 4),
-        "aggregation_source": F.lit("orders"),
-    }
-    return named.select(*[columns[c].alias(c) for c in REVENUE_COLS])
+    named = monthly.join(who, F.col("o_custkey") == F.col("c_custkey"))
+    return named.selectExpr(*[f"{_REVENUE[c]} AS {c}" for c in REVENUE_COLS])
+
+
+def exact(df: DataFrame, measures: list[str] = MEASURES) -> DataFrame:
+    """The measures as decimals: their sums do not depend on an order, and their
+    text has no exponent."""
+    return df.withColumns({c: F.col(c).cast("decimal(18,4)") for c in measures})
+
 
+_IDENT = "concat('C.', c_custkey)"
 
-def _mapping_columns(ident: Column) -> list[Column]:
-    balance = F.col("c_acctbal")
+
+def _mapping_columns(ident: str = _IDENT) -> list[str]:
     columns = {
         "ID": ident,
-        "Oracle_Customer_Name": F.when((balance >= 5000) & (balance < 5100), "  ").when(
-            (balance < 9000) | (balance >= 9100), F.col("c_name")
-        ),
-        "Oracle_Customer_Name_ID": F.col("c_custkey").cast("string"),
-        "Oracle_Invoice_Group": F.col("c_mktsegment"),
-        "Oracle_Invoice_Name": F.col("c_name"),
-        "Oracle_GL_Account": F.when((balance < 0) | (balance >= 500), F.col("c_nationkey").cast("string")),
+        "Oracle_Customer_Name": "CASE WHEN c_acctbal >= 5000 AND c_acctbal < 5100 THEN '  ' "
+        "WHEN c_acctbal < 9000 OR c_acctbal >= 9100 THEN c_name END",
+        "Oracle_Customer_Name_ID": "string(c_custkey)",
+        "Oracle_Invoice_Group": "c_mktsegment",
+        "Oracle_Invoice_Name": "c_name",
+        "Oracle_GL_Account": "CASE WHEN c_acctbal < 0 OR c_acctbal >= 500 THEN string(c_nationkey) END",
     }
-    return [columns[c].alias(c) for c in MAPPING_COLS]
-
-
-def _ident() -> Column:
-    return F.concat(F.lit("C."), F.col("c_custkey").cast("string"))
+    return [f"{columns[c]} AS {c}" for c in MAPPING_COLS]
 
 
 def mapping_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mapping of every customer."""
-    return table(spark, sf_dir, "customer").select(*_mapping_columns(_ident()))
+    return table(spark, sf_dir, "customer").selectExpr(*_mapping_columns())
 
 
 def mapping(spark: SparkSession, sf_dir: str, least: float = 0) -> DataFrame:
     """A mapping of the customers that are not in debt (or hold ``least``)."""
-    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= least).select(*_mapping_columns(_ident()))
+    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= least).selectExpr(*_mapping_columns())
 
 
 def mapping_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`mapping` with faults: IDs twice, extra rows with a NULL or a blank
     ID."""
-    balance = F.col("c_acctbal")
-    idents = (
-        F.when(balance >= 9800, F.array(_ident(), _ident()))
-        .when((balance >= 2000) & (balance < 2050), F.array(_ident(), F.lit(None).cast("string")))
-        .when((balance >= 3000) & (balance < 3020), F.array(_ident(), F.lit("  ")))
-        .otherwise(F.array(_ident()))
+    idents = F.expr(
+        f"""explode(CASE WHEN c_acctbal >= 9800 THEN array({_IDENT}, {_IDENT})
+                         WHEN c_acctbal >= 2000 AND c_acctbal < 2050 THEN array({_IDENT}, NULL)
+                         WHEN c_acctbal >= 3000 AND c_acctbal < 3020 THEN array({_IDENT}, '  ')
+                         ELSE array({_IDENT}) END) AS ident"""
     )
-    rows = table(spark, sf_dir, "customer").where(balance >= 0)
-    return rows.withColumn("ident", F.explode(idents)).select(*_mapping_columns(F.col("ident")))
+    rows = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    return rows.select("*", idents).selectExpr(*_mapping_columns("ident"))
 
 
 def prod(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,14 +185,13 @@ def prod(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another version: without NATION_9, one unit more revenue for machinery
-    in Asia, and one cent more commission for furniture, which is just within
+    in Asia, and half a cent more commission for furniture, which is within
     the tolerance."""
-    machinery = (F.col("business_unit_name") == "MACHINERY") & (F.col("product_line_name") == "ASIA")
-    more_revenue = F.when(machinery, F.lit(1)).otherwise(F.lit(0)).cast("decimal(18,4)")
-    more_commission = F.when(F.col("business_unit_name") == "FURNITURE", F.lit("0.0100")).otherwise(F.lit("0"))
+    more_revenue = F.expr("if(business_unit_name = 'MACHINERY' AND product_line_name = 'ASIA', 1D, 0D)")
+    more_commission = F.expr("if(business_unit_name = 'FURNITURE', 0.005D, 0D)")
     changed = {
-        "network_gross_revenue": (F.col("network_gross_revenue") + more_revenue).cast("decimal(18,4)"),
-        "commission_amount": (F.col("commission_amount") + more_commission.cast("decimal(18,4)")).cast("decimal(18,4)"),
+        "network_gross_revenue": F.col("network_gross_revenue") + more_revenue,
+        "commission_amount": F.col("commission_amount") + more_commission,
     }
     return revenue(spark, sf_dir).where(F.col("network_name") != "NATION_9").withColumns(changed)
 
@@ -188,8 +202,8 @@ def _daily(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
     )
     return (
         events.groupBy(*keys, "order_date")
-        .agg(F.sum(_cents("value")).alias("cents"), F.count("*").alias("order_count"))
-        .select(*keys, "order_date", _amount(F.col("cents"), 2).alias("total_revenue"), "order_count")
+        .agg(F.expr("sum(bigint(rint(value * 100))) AS cents"), F.count("*").alias("order_count"))
+        .selectExpr(*keys, "order_date", "CAST(CAST(cents AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS total_revenue", "order_count")
     )
 
 

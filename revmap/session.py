@@ -19,6 +19,8 @@ def build_session(name: str = "revmap", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # A stack trace for every column is costly in wide projections.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)

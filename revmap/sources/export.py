@@ -56,8 +56,7 @@ def export_csv(
     if as_string:
         out = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
     if single:
-        # Reads at most one row over the cap.
-        if df.limit(rows_per_file + 1).count() > rows_per_file:
+        if df.count() > rows_per_file:
             raise ValueError(f"more than {rows_per_file} rows for one file: export with single=False")
         out = out.repartition(1)
         if order_by is not None:
