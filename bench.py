@@ -41,7 +41,7 @@ def main() -> None:
     seconds = {}
     for name in HEADLINE:
         runs = []
-        for _ in range(2):
+        for _ in range(3):
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)

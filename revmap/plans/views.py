@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date
 from revmap.operators.rebuild import label_accounts
+from revmap.operators.skew import fits_broadcast
 from revmap.schemas import MAPPING_COLS, MEASURES, REVENUE_COLS
 
 SCHEMAS = {
@@ -90,16 +91,16 @@ _REVENUE = {
 
 def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.date | None = None) -> DataFrame:
     """Monthly revenue per customer, 36 columns. A range of days limits the
-    scan of orders to the months a query is about.
-
-    Lines are added up per order before they are shuffled, and orders per
-    customer and month again, so neither a long order nor a busy customer is
-    gathered row by row."""
+    scan of orders to the months a query is about; if those orders are few
+    enough to broadcast, the lines of all others are dropped where they are
+    read. Otherwise lines are added up per order before they are shuffled, so
+    that a long order is never gathered line by line."""
     orders = table(spark, sf_dir, "orders")
     if lo is not None:
         orders = orders.where(F.col("o_orderdate") >= F.lit(lo).cast("timestamp_ntz"))
     if hi is not None:
         orders = orders.where(F.col("o_orderdate") < F.lit(hi).cast("timestamp_ntz"))
+    orders = orders.selectExpr("o_orderkey", "o_custkey", "trunc(date(o_orderdate), 'MM') AS data_month")
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "bigint(rint(l_quantity)) AS quantity",
@@ -107,7 +108,7 @@ def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.
         "bigint(rint(l_discount * 100)) AS discount",
         "bigint(rint(l_tax * 100)) AS tax",
     )
-    per_order = lines.groupBy("l_orderkey").agg(
+    sums = [
         F.expr("count(*) AS lines"),
         F.expr("sum(quantity) AS quantity"),
         F.expr("sum(discount) AS discounts"),
@@ -115,20 +116,22 @@ def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.
         F.expr("sum(price) AS price"),
         F.expr("sum(price * discount) AS discounted"),
         F.expr("sum(price * tax) AS taxed"),
+    ]
+    same_order = F.col("o_orderkey") == F.col("l_orderkey")
+    if (lo is not None or hi is not None) and fits_broadcast(orders):
+        monthly = lines.join(F.broadcast(orders), same_order).groupBy("o_custkey", "data_month").agg(*sums)
+    else:
+        per_order = lines.groupBy("l_orderkey").agg(*sums)
+        totals = [F.sum(c).alias(c) for c in per_order.columns if c != "l_orderkey"]
+        monthly = orders.join(per_order, same_order).groupBy("o_custkey", "data_month").agg(*totals)
+    # Nations are few: joined to customers, not to revenue, they move little,
+    # and what they add to a customer's size is a name or two.
+    customers = table(spark, sf_dir, "customer")
+    who = customers.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    sums = ["lines", "quantity", "discounts", "taxes", "price", "discounted", "taxed"]
-    monthly = (
-        orders.selectExpr("o_orderkey", "o_custkey", "trunc(date(o_orderdate), 'MM') AS data_month")
-        .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
-        .groupBy("o_custkey", "data_month")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-    # Nations are few: joined to customers, not to revenue, they move little.
-    who = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
+    if fits_broadcast(customers):
+        who = F.broadcast(who)
     named = monthly.join(who, F.col("o_custkey") == F.col("c_custkey"))
     return named.selectExpr(*[f"{_REVENUE[c]} AS {c}" for c in REVENUE_COLS])
 

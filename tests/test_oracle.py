@@ -8,6 +8,7 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from revmap.operators import skew
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,3 +33,32 @@ def test_every_oracle_has_a_query():
 
 def test_entry_gives_one_row(spark):
     assert entry(spark).count() == 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "mapped_view",
+        "mapped_view_month",
+        "mapped_view_flags",
+        "mapping_master_view",
+        "mapped_inner",
+        "unmapped_revenue",
+        "unmapped_totals",
+        "unused_mappings",
+        "merged_report",
+        "recon_diff",
+        "manual_revenue",
+        "manual_revenue_in_force",
+        "missing_ids",
+    ],
+)
+def test_query_matches_sql_without_broadcasts(spark, con, monkeypatch, name):
+    """The way large inputs go: shuffled joins, frequent keys spread."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 2)
+    monkeypatch.setattr(skew, "HOT_SHARE", 10_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert difference(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
