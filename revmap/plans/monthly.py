@@ -55,46 +55,54 @@ class StepResult:
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def _read_mapping(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    return quality.typed(read_mapping(spark, cfg.mapping_path, pattern=cfg.pattern, latest=cfg.latest))
+
+
+def _mapped(cfg: RunConfig, m: DataFrame) -> DataFrame:
+    return map_revenue(cfg.revenue, m, as_of=cfg.as_of, months_back=cfg.months_back, flags=cfg.flags)
+
+
+def _raw_reports(m: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "summary": quality.dq_summary(m),
+        "duplicates": quality.duplicates(m),
+        "null_ids": quality.null_ids(m),
+        "null_critical": quality.null_critical(m),
+    }
+
+
+def _merged_reports(cfg: RunConfig, m: DataFrame, v: DataFrame) -> dict[str, DataFrame]:
+    month = {"as_of": cfg.as_of, "months_back": cfg.months_back}
+    return {
+        "coverage": coverage.coverage(cfg.revenue, m, variant="model", run_ts=cfg.run_ts, **month),
+        "report": coverage.merged_report(cfg.revenue, m, v, **month),
+        "completeness": coverage.merged_completeness(v),
+        "duplicates": quality.duplicates(v, "id", texts.MERGED_DUPLICATES),
+        "by_mapping": coverage.revenue_by_mapping(v),
+        "unmapped": mapping.unmapped_revenue(cfg.revenue, m, **month),
+        "unused": mapping.unused_mappings(cfg.revenue, m, **month),
+    }
+
+
 def _import(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    loaded = read_mapping(spark, cfg.mapping_path, pattern=cfg.pattern, latest=cfg.latest)
-    gate = gate_import(reload_table(quality.typed(loaded), cfg.mapping_table), strict=cfg.strict)
+    gate = gate_import(reload_table(_read_mapping(spark, cfg), cfg.mapping_table), strict=cfg.strict)
     return StepResult("import", True, gate.message)
 
 
 def _quality_raw(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    m = spark.read.parquet(cfg.mapping_table)
-    return StepResult(
-        "quality_raw",
-        True,
-        "reports made",
-        {"summary": quality.dq_summary(m), "duplicates": quality.duplicates(m), "null_ids": quality.null_ids(m)},
-    )
-
-
-def _view(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    m = spark.read.parquet(cfg.mapping_table)
-    return map_revenue(cfg.revenue, m, as_of=cfg.as_of, months_back=cfg.months_back, flags=cfg.flags)
+    return StepResult("quality_raw", True, "reports made", _raw_reports(spark.read.parquet(cfg.mapping_table)))
 
 
 def _create_view(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    gate = gate_non_empty(reload_table(_view(spark, cfg), cfg.view_table), on_empty="warn")
+    view = _mapped(cfg, spark.read.parquet(cfg.mapping_table))
+    gate = gate_non_empty(reload_table(view, cfg.view_table), on_empty="warn")
     return StepResult("create_view", True, gate.message)
 
 
 def _quality_merged(spark: SparkSession, cfg: RunConfig) -> StepResult:
     m, v = spark.read.parquet(cfg.mapping_table), spark.read.parquet(cfg.view_table)
-    month = {"as_of": cfg.as_of, "months_back": cfg.months_back}
-    return StepResult(
-        "quality_merged",
-        True,
-        "reports made",
-        {
-            "coverage": coverage.coverage(cfg.revenue, m, variant="model", run_ts=cfg.run_ts, **month),
-            "report": coverage.merged_report(cfg.revenue, m, v, **month),
-            "unmapped": mapping.unmapped_revenue(cfg.revenue, m, **month),
-            "unused": mapping.unused_mappings(cfg.revenue, m, **month),
-        },
-    )
+    return StepResult("quality_merged", True, "reports made", _merged_reports(cfg, m, v))
 
 
 def _export(spark: SparkSession, cfg: RunConfig) -> StepResult:
@@ -122,16 +130,30 @@ _RUN: dict[str, Callable[[SparkSession, RunConfig], StepResult]] = {
 }
 
 
+def _plan(spark: SparkSession, cfg: RunConfig) -> dict[str, dict[str, DataFrame]]:
+    """The frames each step would compute, for ``explain``."""
+    m = _read_mapping(spark, cfg)
+    v = _mapped(cfg, m)
+    return {
+        "import": {"mapping": m},
+        "quality_raw": _raw_reports(m),
+        "create_view": {"view": v},
+        "quality_merged": _merged_reports(cfg, m, v),
+        "export": {"view": v},
+    }
+
+
 def run(spark: SparkSession, cfg: RunConfig, *, step: str = "all", dry_run: bool = False) -> list[StepResult]:
     """Run one step or all in order, up to the first that fails. A dry run
-    says what would run, and computes and writes nothing."""
+    writes nothing and gives back the frames the steps would compute."""
     if step != "all" and step not in _RUN:
         raise ValueError(f"unknown step {step}; there are {', '.join(STEPS)}")
+    names = STEPS if step == "all" else [step]
+    if dry_run:
+        planned = _plan(spark, cfg)
+        return [StepResult(name, True, f"would run {name}", planned[name]) for name in names]
     results = []
-    for name in STEPS if step == "all" else [step]:
-        if dry_run:
-            results.append(StepResult(name, True, f"would run {name}"))
-            continue
+    for name in names:
         try:
             results.append(_RUN[name](spark, cfg))
         except GateError as error:

@@ -526,10 +526,8 @@ SELECT 'FILE STATISTICS' AS check_type, count(*) AS file_row_count, count(*) AS
        CAST(0 AS BIGINT) AS difference, 'NO HEADERS - File row count matches source (no header row)' AS header_analysis
 FROM f""")
 ORACLE["export_preview"] = _flagged("""
-SELECT row_num, if(row_num = 1, 'HEADER ROW (if headers exist)', 'DATA ROW') AS row_type
-FROM (SELECT row_number() OVER () AS row_num FROM (SELECT 1 UNION ALL SELECT 1 FROM f)) WHERE row_num <= 5""").replace(
-    "SELECT row_num, if", "SELECT CAST(row_num AS INTEGER) AS row_num, if"
-)
+SELECT DISTINCT row_type, first_row, true AS within_five
+FROM f, (VALUES ('HEADER ROW (if headers exist)', 1), ('DATA ROW', 2)) AS t(row_type, first_row)""")
 ORACLE["header_mismatches"] = _flagged("SELECT CAST(NULL AS VARCHAR) AS found FROM f WHERE false")
 ORACLE["export_files"] = _flagged("SELECT 'revenue_mapped_199801' AS export_name, count(*) AS lines FROM f")
 ORACLE["expired_exports"] = "SELECT true AS all_expire, true AS none_today"

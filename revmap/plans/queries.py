@@ -356,11 +356,12 @@ def csv_mapping(spark, sf):
 
 @query
 def csv_mapping_latest(spark, sf):
-    """The newest of two files."""
+    """The newer of two deliveries, each a folder of files."""
     root = scratch_dir(spark, "latest")
     for name, m in (("old", v.mapping_full(spark, sf)), ("new", v.mapping(spark, sf))):
-        m.repartition(1).write.options(**mc.CSV_OPTS).option("header", True).csv(f"{root}/{name}")
-    return mc.read_mapping(spark, fl.latest_file(fl.list_files(spark, root, pattern=r".*\.csv")))
+        m.write.options(**mc.CSV_OPTS).option("header", True).csv(f"{root}/{name}")
+    newest = fl.latest_file(fl.list_files(spark, root, pattern=r".*\.csv"))
+    return mc.read_mapping(spark, newest.rsplit("/", 1)[0])
 
 
 @query
@@ -518,16 +519,19 @@ def header_by_count(spark, sf):
 
 @query
 def export_preview(spark, sf):
-    """The first five rows of a file written by one task."""
-    path = _exported_files(spark, sf, "preview", single=True)
-    raw = mc.read_positional(spark, path, len(EXPORT_COLS), max_rows=5)
-    return qa.preview_rows(raw).select("row_num", "row_type")
+    """Where header and data stand in the first five rows of every file."""
+    raw = mc.read_positional(spark, _exported_files(spark, sf, "preview"), len(EXPORT_COLS), max_rows=5)
+    return (
+        qa.preview_rows(raw)
+        .groupBy("row_type")
+        .agg(F.min("row_num").alias("first_row"), (F.max("row_num") <= 5).alias("within_five"))
+    )
 
 
 @query
 def header_mismatches(spark, sf):
-    """Files whose header is not the mapping's: an export is none of them."""
-    path = _exported_files(spark, sf, "mismatch", single=True)
+    """Files whose header is not the export's: there are none."""
+    path = _exported_files(spark, sf, "mismatch")
     return mc.header_mismatches(spark, path, EXPORT_HEADER).select("found")
 
 

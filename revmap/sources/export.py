@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from revmap import texts
@@ -18,9 +18,6 @@ from revmap.schemas import CSV_OPTS, EXPORT_HEADER, string_schema
 
 # Fixed value: the size cap of one exported file in bytes.
 MAX_FILE_BYTES = 5368709120
-# A generous mean size of a field, to turn the byte cap into a row cap without
-# a pass over the data.
-FIELD_BYTES = 256
 
 
 def export_csv(
@@ -47,16 +44,29 @@ def export_csv(
 
     The folder is named by the latest month in the data, or with ``as_of`` by
     the month ``months_back`` before it. With ``as_string`` values are written
-    as text under upper-case names. ``single`` writes one file through one
-    task, and is refused when the file might exceed ``max_bytes``."""
-    rows_per_file = max_records or max(1, max_bytes // (FIELD_BYTES * len(df.columns)))
-    month = _month(df, month_col, as_of, months_back)
+    as text under upper-case names. A file holds ``max_records`` rows, or as
+    many as fit ``max_bytes`` by the mean row. ``single`` writes one file
+    through one task, and is refused for more than that.
+
+    Month and mean row come from one aggregate over ``df``, the sort reads it
+    once more to find its ranges, and the write a third time: pass a stored
+    table rather than a costly query. With ``as_of`` and ``max_records`` there
+    is no aggregate."""
+    month, rows_per_file, rows = None, max_records, None
+    if as_of is not None:
+        month = prior_month_value(as_of, months_back).strftime("%Y%m")
+    if month is None or rows_per_file is None or single:
+        found = _measure(df, month_col if month is None else None)
+        month, rows = month or found.month, found.n
+        rows_per_file = rows_per_file or max(1, int(max_bytes // (found.row_bytes or 1)))
+    if month is None:
+        raise ValueError(f"no {month_col} in the data to name the export by; pass as_of")
     path = f"{root.rstrip('/')}/{prefix}_{month}"
     out = df
     if as_string:
         out = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
     if single:
-        if df.count() > rows_per_file:
+        if rows > rows_per_file:
             raise ValueError(f"more than {rows_per_file} rows for one file: export with single=False")
         out = out.repartition(1)
         if order_by is not None:
@@ -83,18 +93,18 @@ def export_csv(
     )
 
 
-def _month(df: DataFrame, month_col: str, as_of: str | dt.date | None, months_back: int) -> str:
-    if as_of is not None:
-        return prior_month_value(as_of, months_back).strftime("%Y%m")
-    month = df.agg(yyyymm(F.max(month_col))).first()[0]
-    if month is None:
-        raise ValueError(f"no {month_col} in the data to name the export by; pass as_of")
-    return month
+def _measure(df: DataFrame, month_col: str | None) -> Row:
+    """The latest month, the rows and their mean size as text, in one pass."""
+    month = F.lit(None).cast("string") if month_col is None else yyyymm(F.max(month_col))
+    text = F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])
+    # Room for the separators concat_ws leaves out at NULL, and for quotes.
+    size = F.octet_length(text) + 3 * len(df.columns)
+    return df.agg(month.alias("month"), F.count("*").alias("n"), F.avg(size).alias("row_bytes")).first()
 
 
 def export_record(df: DataFrame, root: str, record_id: str, **kw) -> DataFrame:
     """Export the rows of one ID alone, to see whether they survive."""
-    return export_csv(df.where(F.col("ID") == record_id), root, "single_record", single=True, **kw)
+    return export_csv(df.where(F.col("ID") == record_id), root, "single_record", **kw)
 
 
 def read_export(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:

@@ -80,6 +80,7 @@ def test_a_run_stops_at_the_first_failure(spark, config):
 def test_a_dry_run_writes_nothing(spark, config, tmp_path):
     results = monthly.run(spark, config("C.1,A,1,g,i,9"), dry_run=True)
     assert [r.step for r in results] == monthly.STEPS
+    assert len(results[2].frames["view"].columns) == 43
     assert not (tmp_path / "work").exists() and not (tmp_path / "out").exists()
 
 
