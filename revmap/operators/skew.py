@@ -7,11 +7,14 @@ proves it. So:
 * a side is broadcast only when the optimiser's size estimate is within the
   session's broadcast threshold;
 * otherwise both sides are shuffled, and the rows of *hot* keys are spread over
-  salts. A hot key holds more than 1/64 of the rows, so there are fewer than 64
-  of them whatever the data, and their list can always come to the driver. They
-  are counted first, each task combining its own rows, and the join then
-  carries them as literals: no key is hot on one side and not on the other, also
-  in a task that runs again. Without hot keys it is a plain join.
+  salts, while the other side's rows of those keys are repeated once per salt. A
+  hot key holds more than 1/64 of the rows, so there are fewer than 64 of them
+  whatever the data, and their list can always come to the driver. They are
+  counted first, each task combining its own rows, and the join then carries
+  them as literals, so that a task that runs again sees the same keys. Without
+  hot keys it is a plain join.
+* a key may be hot on either side. Repeating rows never makes more of them than
+  the join gives back, as a hot key has more rows than there are salts.
 
 Salts depend on the row and on the partition it is read from, not on a random
 number: a task that runs again after a lost executor sends every row to the
@@ -29,15 +32,14 @@ HOT_SHARE = 64
 HOT_ROWS = 1_000_000
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimiser's estimate of the size of ``df``."""
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-
-
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is within spark.sql.autoBroadcastJoinThreshold."""
+    """Whether the optimiser's estimate of the size of ``df`` is within
+    spark.sql.autoBroadcastJoinThreshold. A remote session does not tell; then
+    nothing is broadcast by this library."""
+    if not hasattr(df, "_jdf"):
+        return False
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan_bytes(df) <= limit
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
 
 
 def partitions(df: DataFrame) -> int:
@@ -70,12 +72,32 @@ def lookup_join(
     if where is not None:
         condition = condition & where
     side = side.where(F.col(side_key).isNotNull())
+    if how in ("left_semi", "left_anti") and where is None:
+        side = side.select(side_key).distinct()
     if fits_broadcast(side):
         return big.join(F.broadcast(side), condition, how)
+
     hot = hot_keys(big, big_key)
+    crowded = []
+    if how == "inner" or (how == "left" and where is None):
+        crowded = [k for k in hot_keys(side, side_key) if k not in hot]
+    if not crowded:
+        return _spread_join(big, side, big_key, side_key, hot, condition, how)
+    # A crowded key has matches for certain, so its rows of big need no outer
+    # join, and an inner join may spread the side.
+    in_big = F.coalesce(F.col(big_key).isin(crowded), F.lit(False))
+    in_side = F.col(side_key).isin(crowded)
+    rest = _spread_join(big.where(~in_big), side.where(~in_side), big_key, side_key, hot, condition, how)
+    matched = _spread_join(side.where(in_side), big.where(in_big), side_key, big_key, crowded, condition, "inner")
+    return rest.unionByName(matched)
+
+
+def _spread_join(
+    big: DataFrame, side: DataFrame, big_key: str, side_key: str, hot: list, condition: Column, how: str
+) -> DataFrame:
+    """Join with the rows of the ``hot`` keys of ``big`` spread over salts."""
     if not hot:
         return big.join(side, condition, how)
-
     n = partitions(big)
     keys = [k for k in hot if k is not None]
     is_hot = F.coalesce(F.col(big_key).isin(keys), F.lit(None in hot))

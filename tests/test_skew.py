@@ -57,6 +57,16 @@ def test_salted_join_equals_plain_join(frames, no_broadcast, how):
     assert _count(got) == _count(big.join(side, F.col("k") == F.col("s"), how))
 
 
+@pytest.mark.parametrize("how", HOWS)
+def test_key_hot_on_the_side_only(spark, no_broadcast, how):
+    big = spark.sql("SELECT 'crowd' AS k, 1 AS v UNION ALL SELECT 'none', 2 UNION ALL SELECT NULL, 3 UNION ALL SELECT 'one', 4")
+    side = spark.range(600).selectExpr("CASE WHEN id < 500 THEN 'crowd' WHEN id = 500 THEN 'one' ELSE concat('s', id) END AS s", "id AS w")
+    got = skew.lookup_join(big, side, "k", "s", how)
+    if how in ("left", "inner"):
+        assert "salt" in got._jdf.queryExecution().analyzed().toString()
+    assert _count(got) == _count(big.join(side, F.col("k") == F.col("s"), how))
+
+
 @pytest.mark.parametrize("how", HOWS)
 def test_broadcast_join_equals_plain_join(frames, how):
     big, side = frames
