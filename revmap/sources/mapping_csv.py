@@ -129,9 +129,9 @@ def recent_loads(history: DataFrame, now: dt.datetime | str, hours: int = 1) ->
 def read_positional(
     spark: SparkSession, path: str, n_cols: int, *, max_rows: int | None = None, names: list[str] | None = None
 ) -> DataFrame:
-    """A delimited file by position: c1..cn, file name, and the row's number in
-    its file. With ``max_rows`` only the first rows of each file are kept, and
-    each task cuts its own before the shuffle."""
+    """A delimited file by position: c1..cn, file name and time, and the row's
+    number in its file. With ``max_rows`` only the first rows of each file are
+    kept, and each task cuts its own before the shuffle."""
     columns = names or [f"c{i}" for i in range(1, n_cols + 1)]
     rows = (
         spark.read.schema(string_schema(columns))
@@ -140,12 +140,19 @@ def read_positional(
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .csv(path)
-        .select(*columns, F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("position"))
+        .select(
+            *columns,
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("last_modified"),
+            F.monotonically_increasing_id().alias("position"),
+        )
     )
     numbered = rows.withColumn("row_number", F.row_number().over(Window.partitionBy("path").orderBy("position")))
     if max_rows is not None:
         numbered = numbered.where(F.col("row_number") <= max_rows)
-    return null_tokens(numbered, columns).select(*columns, file_name(F.col("path")).alias("file_name"), "path", "row_number")
+    return null_tokens(numbered, columns).select(
+        *columns, file_name(F.col("path")).alias("file_name"), "path", "last_modified", "row_number"
+    )
 
 
 def header_mismatches(spark: SparkSession, path: str, expected: list[str] = MAPPING_COLS) -> DataFrame:
