@@ -23,6 +23,8 @@ same place. Identical rows spread too, as they are read from many partitions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,27 @@ HOT_SHARE = 64
 HOT_ROWS = 1_000_000
 
 
+# Nodes of a plan that may return more rows than the optimiser's estimate allows
+# for: it takes them to return as many as they read.
+_MULTIPLIES = re.compile(r"^\W*(Generate|Expand|MapIn|MapPartitions|FlatMap|ScriptTransformation)", re.MULTILINE)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimiser's estimate of the size of ``df`` is within
-    spark.sql.autoBroadcastJoinThreshold. A remote session does not tell; then
-    nothing is broadcast by this library."""
+    """Whether ``df`` is surely no larger than the session's
+    spark.sql.autoBroadcastJoinThreshold. The optimiser starts from file sizes
+    and its estimate only grows with joins and unions, so it is an upper bound
+    for the data as stored, unless the plan explodes rows: then nothing is
+    known. Nor is it in a remote session, which does not tell its estimates."""
     if not hasattr(df, "_jdf"):
         return False
+    plan = df._jdf.queryExecution().optimizedPlan()
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+    return plan.stats().sizeInBytes() <= limit and not _MULTIPLIES.search(plan.toString())
 
 
-def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def salt_count(df: DataFrame) -> int:
+    """Several salts per shuffle partition, so that their hashes even out."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def spread(df: DataFrame, n: int) -> Column:
@@ -98,7 +109,7 @@ def _spread_join(
     """Join with the rows of the ``hot`` keys of ``big`` spread over salts."""
     if not hot:
         return big.join(side, condition, how)
-    n = partitions(big)
+    n = salt_count(big)
     keys = [k for k in hot if k is not None]
     is_hot = F.coalesce(F.col(big_key).isin(keys), F.lit(None in hot))
     salted = big.withColumn("big_salt", F.when(is_hot, spread(big, n)).otherwise(0))

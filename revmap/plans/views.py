@@ -171,14 +171,13 @@ def mapping(spark: SparkSession, sf_dir: str, least: float = 0) -> DataFrame:
 def mapping_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`mapping` with faults: IDs twice, extra rows with a NULL or a blank
     ID."""
-    idents = F.expr(
-        f"""explode(CASE WHEN c_acctbal >= 9800 THEN array({_IDENT}, {_IDENT})
-                         WHEN c_acctbal >= 2000 AND c_acctbal < 2050 THEN array({_IDENT}, NULL)
-                         WHEN c_acctbal >= 3000 AND c_acctbal < 3020 THEN array({_IDENT}, '  ')
-                         ELSE array({_IDENT}) END) AS ident"""
-    )
     rows = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-    return rows.select("*", idents).selectExpr(*_mapping_columns("ident"))
+    extra = (
+        f"CASE WHEN c_acctbal >= 9800 THEN {_IDENT} "
+        "WHEN c_acctbal >= 3000 AND c_acctbal < 3020 THEN '  ' END"
+    )
+    faulty = "c_acctbal >= 9800 OR c_acctbal >= 3000 AND c_acctbal < 3020 OR c_acctbal >= 2000 AND c_acctbal < 2050"
+    return rows.selectExpr(*_mapping_columns()).union(rows.where(faulty).selectExpr(*_mapping_columns(extra)))
 
 
 def prod(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,12 +235,10 @@ def old_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account metadata: two overlapping periods per website."""
-    sites = (
-        table(spark, sf_dir, "events")
-        .groupBy("event_type")
-        .agg(F.min(F.col("ts").cast("date")).alias("first_day"))
-        .withColumn("days", F.explode(F.array(F.lit(4), F.lit(19))))
+    starts = (
+        table(spark, sf_dir, "events").groupBy("event_type").agg(F.min(F.col("ts").cast("date")).alias("first_day"))
     )
+    sites = starts.withColumn("days", F.lit(4)).union(starts.withColumn("days", F.lit(19)))
     account = F.lit(OTHER_LABEL)
     for site, label in LABELS.items():
         account = F.when(F.col("event_type") == site, label).otherwise(account)
