@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from test_files import HEADER, write  # noqa: F401
+from test_files import write  # noqa: F401
 
 from revmap import session, texts
 from revmap.plans import monthly, views
