@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from revmap.llm import decontamination, minhash_dedup, substring_dedup
+from revmap.llm import byte_bpe, decontamination, minhash_dedup, substring_dedup
 
-_MODULES = (decontamination, minhash_dedup, substring_dedup)
+_MODULES = (byte_bpe, decontamination, minhash_dedup, substring_dedup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
