@@ -11,13 +11,13 @@ from revmap.llm.store import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the least node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of these; a > b holds on both ends."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     joined = edges.join(least, "a")
     own = joined.select("a", F.col("m").alias("b"))
     others = joined.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Only nodes with a link to a smaller node are returned; any other node is its
     own component. A node's neighbours are never gathered: groups are reduced by
-    ``min`` and joined back. Each round is written to shared storage, and the
+    ``min``, stored, and joined back in a join that Spark may split on skew. Each round is written to shared storage, and the
     number of rounds grows with the logarithm of the longest chain.
     """
     edges = stored(
@@ -41,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _state(edges)
     while True:
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        edges = stored(_small_star(stored(_large_star(edges), "large-stars")), "stars")
         after = _state(edges)
         if after == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -164,18 +164,21 @@ def near_duplicates(
         "signatures",
     )
     with_words = signed.where("size > 0 AND id IS NOT NULL")
-    classes = with_words.groupBy("one", "two", "size").agg(F.min("id").alias("rep"))
+    # What is joined back is stored, as Spark splits a skewed join only of plain inputs.
+    classes = stored(with_words.groupBy("one", "two", "size").agg(F.min("id").alias("rep")), "classes")
     reps = stored(
         with_words.join(classes.select(F.col("rep").alias("id"), "one", "two"), ["id", "one", "two"])
         .select("id", "size", "sketch", "bands"),
         "representatives",
     )
     member = reps.select("id", F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    shared = stored(
+        member.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "shared"
+    )
     members = stored(member.join(shared, "bucket"), "buckets")
-    taking_part = members.select("id").distinct()
+    taking_part = stored(members.select("id").distinct(), "members")
     texts = stored(texts.join(taking_part, "id", "left_semi"), "texts")
-    sketches = reps.select("id", "size", "sketch").join(taking_part, "id", "left_semi")
+    sketches = stored(reps.select("id", "size", "sketch").join(taking_part, "id", "left_semi"), "sketches")
     compare = _Comparison(texts, sketches, id_type, shingle, threshold, bands * rows)
 
     links = compare(members.where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b")))
@@ -186,6 +189,7 @@ def near_duplicates(
             "component", F.coalesce("component", "id")
         )
         if step == "hi":
+            placed = stored(placed, "placed")
             leader = placed.where("id = hi").select("bucket", F.col("component").alias("led"))
             pairs = placed.join(leader, "bucket").where("component != led").select(F.col("id").alias("a"), F.col("hi").alias("b"))
         else:
@@ -210,12 +214,10 @@ def _apart(placed: DataFrame) -> DataFrame:
     counts = placed.groupBy("bucket", "component").count()
     several = counts.groupBy("bucket").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")
-    ).where("n > 1")
-    minor = (
-        placed.join(several, "bucket")
-        .where("component != main")
-        .select("bucket", F.col("id").alias("a"), F.col("component").alias("own"), "main")
     )
+    several = stored(several.where("n > 1").select("bucket", "main"), "several")
+    minor = placed.join(several, "bucket").where("component != main")
+    minor = stored(minor.select("bucket", F.col("id").alias("a"), F.col("component").alias("own"), "main"), "minor")
     pairs = minor.join(placed, "bucket").where("own != component AND (component = main OR a < id)")
     return pairs.select("a", F.col("id").alias("b"))
 
@@ -231,7 +233,7 @@ class _Comparison:
         return frame.select(*(F.col(c).alias(side if c == "id" else f"{c}_{side}") for c in frame.columns))
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct().join(self._side(self._sketches, "b"), "b").join(self._side(self._sketches, "a"), "a")
+        pairs = stored(pairs.distinct(), "pairs").join(self._side(self._sketches, "b"), "b").join(self._side(self._sketches, "a"), "a")
         pairs = pairs.where(f"100 * least(size_a, size_b) >= {self._threshold} * greatest(size_a, size_b)")
         alike = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(self._threshold, self._minima), self._schema)
         alike = stored(alike, "alike").join(self._side(self._texts, "b"), "b").join(self._side(self._texts, "a"), "a")
