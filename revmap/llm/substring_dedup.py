@@ -170,14 +170,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         texts.mapInArrow(_paths(window, anchor), f"id {id_type}, tag int, start int, n int, anchor bigint, path bigint"),
         "paths",
     )
-    anchors = (
+    # What is joined back is stored, as Spark splits a skewed join only of plain inputs.
+    anchors = stored(
         paths.groupBy("anchor")
         .agg(F.min("id").alias("a"), F.max("id").alias("b"), (F.min("path") != F.max("path")).alias("branches"))
         .where("a < b")
-        .select("anchor", "branches")
+        .select("anchor", "branches"),
+        "anchors",
     )
     shared = stored(paths.join(anchors, "anchor"), "shared-paths")
-    first = shared.groupBy("path").agg(F.min("id").alias("first"))
+    first = stored(shared.groupBy("path").agg(F.min("id").alias("first")), "first-paths")
     placed = shared.join(first, "path")
     later = placed.where("id > first").select("id", "tag", "start", F.expr(f"start + n + {window - 1}").alias("end"))
     opened = (
@@ -189,7 +191,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         texts.join(opened, ["id", "tag"]).mapInArrow(_edges(window), f"id {id_type}, tag int, start int, edge bigint"),
         "edges",
     )
-    edge_first = edges.groupBy("edge").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    edge_first = stored(
+        edges.groupBy("edge").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("edge", "first"),
+        "first-edges",
+    )
     later_edges = (
         edges.join(edge_first, "edge").where("id > first").select("id", "tag", "start", F.expr(f"start + {window}").alias("end"))
     )
