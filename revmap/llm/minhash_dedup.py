@@ -3,10 +3,9 @@
 Documents with equal shingle sets are one class from the start. Each class has
 ``bands * rows`` minima of universal hashes; classes that agree in all minima of
 a band share a bucket. Inside a bucket not all pairs are formed: members are
-first compared with one leader, and only what a leader leaves in different
-components is compared further, so a bucket of thousands of copies costs
-thousands of comparisons. A comparison checks the whole signature first, then
-the full shingle sets.
+first compared with one leader, then with another, by the whole signature and
+then by the full shingle sets. What is still apart though buckets connect it is
+compared in blocks, full sets again, by matrix products.
 
 A link at the threshold of 0.75 is missed with probability
 ``(1 - 0.75 ** rows) ** bands``, 2e-6 by default, and at 0.8 with 6e-9.
@@ -17,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ from revmap.llm.store import documents, stored, tagged
 BANDS, ROWS = 48, 5
 #: How far the share of equal minima may be below the similarity, in standard deviations.
 SLACK = 6.0
+#: Documents and shingles in a block of documents that are compared all with all.
+BLOCK_DOCS, BLOCK_SHINGLES = 400, 1_000_000
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +173,7 @@ def near_duplicates(
         .select("id", "size", "sketch", "bands"),
         "representatives",
     )
-    member = reps.select("id", F.explode("bands").alias("bucket"))
+    member = reps.select("id", "size", F.explode("bands").alias("bucket"))
     shared = stored(
         member.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "shared"
     )
@@ -183,19 +185,16 @@ def near_duplicates(
 
     links = compare(members.where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b")))
     found = components(links)
-    # Two rounds with a leader each, then all pairs that are still apart.
-    for step in ("hi", "rest"):
-        placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        if step == "hi":
-            placed = stored(placed, "placed")
-            leader = placed.where("id = hi").select("bucket", F.col("component").alias("led"))
-            pairs = placed.join(leader, "bucket").where("component != led").select(F.col("id").alias("a"), F.col("hi").alias("b"))
-        else:
-            pairs = _apart(stored(placed.select("bucket", "id", "component"), "placed"))
-        links = compare(pairs)
-        found = components(links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    # Another leader for those that the first left apart, then all that are still apart.
+    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = stored(placed.withColumn("component", F.coalesce("component", "id")), "placed")
+    leader = stored(placed.where("id = hi").select("bucket", F.col("component").alias("led")), "leaders")
+    led = placed.join(leader, "bucket").where("component != led").select(F.col("id").alias("a"), F.col("hi").alias("b"))
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    links = compare(led)
+    found = components(links.union(stars))
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(_rest(members, found, texts, id_type, shingle, threshold).union(stars))
 
     result = signed.select("id", "size", "one", "two").join(classes, ["one", "two", "size"], "left")
     result = result.join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -208,18 +207,78 @@ def near_duplicates(
     )
 
 
-def _apart(placed: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components. Each bucket's largest
-    component is met by the others only, not by itself."""
-    counts = placed.groupBy("bucket", "component").count()
-    several = counts.groupBy("bucket").agg(
-        F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")
+def _rest(members: DataFrame, found: DataFrame, texts: DataFrame, id_type: str, shingle: int, threshold: int) -> DataFrame:
+    """Links between documents that buckets connect but that are in different components so far.
+
+    Documents that buckets connect, directly or over others, are a cluster. Of
+    clusters with several components, all documents are compared by matrix products
+    of their full sets. Only sizes within the threshold can match, so a document
+    meets its own class of sizes and the classes next to it, in blocks: each task
+    has two blocks, and a document is sent to as many tasks as there are blocks.
+    """
+    star = members.where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b"))
+    cluster = components(star)
+    everyone = members.select("id", "size").distinct()
+    placed = (
+        everyone.join(cluster.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "id", "left")
+        .join(found.withColumnRenamed("node", "id"), "id", "left")
+        .select(
+            "id",
+            F.coalesce("cluster", "id").alias("cluster"),
+            F.coalesce("component", "id").alias("component"),
+            F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / threshold))).cast("int").alias("class"),
+            "size",
+        )
     )
-    several = stored(several.where("n > 1").select("bucket", "main"), "several")
-    minor = placed.join(several, "bucket").where("component != main")
-    minor = stored(minor.select("bucket", F.col("id").alias("a"), F.col("component").alias("own"), "main"), "minor")
-    pairs = minor.join(placed, "bucket").where("own != component AND (component = main OR a < id)")
-    return pairs.select("a", F.col("id").alias("b"))
+    placed = stored(placed, "placed")
+    several = placed.groupBy("cluster").agg((F.min("component") != F.max("component")).alias("apart")).where("apart")
+    placed = stored(placed.join(stored(several.select("cluster"), "several"), "cluster"), "apart")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    sizes = placed.groupBy("cluster", "class").agg(blocks.alias("blocks"))
+    near = lambda step, name: sizes.select("cluster", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
+    sizes = stored(
+        sizes.join(near(1, "below"), ["cluster", "class"], "left").join(near(-1, "above"), ["cluster", "class"], "left"), "blocks"
+    )
+    own = placed.join(sizes, ["cluster", "class"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    each = lambda n, row: F.expr(f"transform(filter(sequence(0, {n} - 1), x -> {n} > 0), x -> {row})")
+    tasks = F.concat(
+        each("blocks", "struct(class AS c, least(block, x) AS x, class AS d, greatest(block, x) AS y)"),
+        each("coalesce(above, 0)", "struct(class AS c, block AS x, class + 1 AS d, x AS y)"),
+        each("coalesce(below, 0)", "struct(class - 1 AS c, x AS x, class AS d, block AS y)"),
+    )
+    sent = own.join(texts, "id").select("cluster", "id", "component", "text", F.explode(tasks).alias("task"))
+    sent = sent.select("cluster", "task.*", "id", "component", "text")
+    links = sent.groupBy("cluster", "c", "x", "d", "y").applyInPandas(_matched(shingle, threshold), f"a {id_type}, b {id_type}")
+    return stored(links.distinct(), "rest")
+
+
+def _matched(k: int, threshold: int):
+    """Links between the components in one task."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        data, places = seq.buffers(pa.array(rows.text, pa.string()))
+        sets = [x for _, _, part, at in seq.parts(data, places) for x in shingle_sets(part, at, k)]
+        n, size = len(sets), np.array([len(x) for x in sets])
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        doc = np.repeat(np.arange(n), size)
+        shared = times[column] > 1  # what only one set has is in no intersection
+        column, doc = column[shared], doc[shared]
+        column = np.unique(column, return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        column, doc = column[order], doc[order]
+        common = np.zeros((n, n), np.float32)
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, (at, at + 4096))
+            has = np.zeros((n, 4096), np.float32)
+            has[doc[a:b], column[a:b] - at] = 1
+            common += has @ has.T
+        component = rows.component.to_numpy()
+        linked = 100 * common >= threshold * (size[:, None] + size[None, :] - common)
+        x, y = np.nonzero(np.triu(linked & (component[:, None] != component[None, :]), 1))
+        ids = rows.id.to_numpy()
+        return pd.DataFrame({"a": ids[x], "b": ids[y]})
+
+    return run
 
 
 class _Comparison:
