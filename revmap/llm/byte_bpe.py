@@ -32,7 +32,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A rank file is broadcast; a larger one is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Encoded pieces that a worker keeps for the next text.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 150_000
 #: Cells of a matrix that is merged at once.
 CELLS = 1 << 20
 
@@ -264,8 +264,8 @@ def _decode(ranks: Broadcast, pattern: str, ids_col: str, names: list[str], byte
         codec = _codec(ranks, pattern)
         for batch in batches:
             lists = batch.column(ids_col)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_pylist()
-            data = [codec.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
+            data = [codec.decode(values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(data, pa.binary())], [*names, bytes_col])
 
     return run
