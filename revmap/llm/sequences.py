@@ -128,6 +128,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def _within_texts(first: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each symbol, and which windows do not leave their text."""
+    text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return text_of, text_of[: n - window + 1] == text_of[window - 1 :]
+
+
 def super_windows(symbols: np.ndarray, first: np.ndarray, window: int, k: int):
     """Cut the windows of each text into runs with the same least k-gram hash.
 
@@ -144,9 +150,7 @@ def super_windows(symbols: np.ndarray, first: np.ndarray, window: int, k: int):
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     hasher = Hasher(symbols)
     least = sliding_min(hasher.windows(k), window - k + 1)
-    lengths = np.diff(first)
-    text_of = np.repeat(np.arange(len(lengths)), lengths)
-    inside = text_of[: n - window + 1] == text_of[window - 1 :]
+    text_of, inside = _within_texts(first, n, window)
     new = np.ones(len(least), bool)
     new[1:] = (least[1:] != least[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(new & inside)
@@ -155,3 +159,24 @@ def super_windows(symbols: np.ndarray, first: np.ndarray, window: int, k: int):
     text = text_of[starts]
     covered = hasher.stretches(starts, stops + window - 1)
     return text, starts - first[text], stops - starts, least[starts], covered
+
+
+def repeating_texts(symbols: np.ndarray, first: np.ndarray, window: int, k: int) -> np.ndarray:
+    """The texts that have an anchor at two places. No other text has a window twice:
+    equal windows have their anchors at equal places within them."""
+    n = len(symbols)
+    if n < window:
+        return np.zeros(0, np.int64)
+    grams, width = Hasher(symbols).windows(k), window - k + 1
+    least = sliding_min(grams, width)
+    text_of, inside = _within_texts(first, n, window)
+    # A k-gram is an anchor if the largest of the least hashes around it is its own.
+    least = np.where(inside, least, 0)
+    none = np.zeros(width - 1, np.uint64)
+    around = ~sliding_min(~np.concatenate([none, least, none]), width)
+    anchor = np.flatnonzero((grams == around) & (around > 0))
+    text = text_of[anchor]
+    key = mix(grams[anchor] + mix(text.astype(np.uint64)))
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    return np.unique(text[order[1:]][same])
