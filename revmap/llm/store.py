@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from revmap.session import scratch_dir
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Python workers of a local session find this package wherever the session was started.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
