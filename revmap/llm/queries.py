@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from revmap.llm import byte_bpe, decontamination, minhash_dedup, substring_dedup
+from revmap.llm import (
+    byte_bpe,
+    decontamination,
+    kd_sharding,
+    minhash_dedup,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    voronoi_topk,
+)
 
-_MODULES = (byte_bpe, decontamination, minhash_dedup, substring_dedup)
+_MODULES = (
+    decontamination,
+    kd_sharding,
+    byte_bpe,
+    toxicity,
+    quality,
+    voronoi_topk,
+    minhash_dedup,
+    suffix_dedup,
+    substring_dedup,
+)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
