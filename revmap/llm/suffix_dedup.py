@@ -33,7 +33,7 @@ from revmap.llm.store import documents, stored, tag, tagged
 from revmap.llm.substring_dedup import merge_spans
 
 WINDOW, ANCHOR = 100, 20
-#: Runs in a group of anchors, about; an anchor in more rows than HOT is dealt out by suffixes.
+#: Runs in a group of anchors, about; an anchor in more rows than HOT is dealt to several groups.
 GROUP_RUNS, HOT = 2_000, 1_000
 
 _RUN = "within boolean, route bigint, known boolean, anchor bigint, path bigint, start int, n int"
@@ -101,50 +101,33 @@ def _runs(window: int, k: int):
 
 
 def _opened(window: int):
-    """The bytes of the listed runs; runs of hot anchors as single windows with their hash."""
+    """The bytes of the listed runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, places = seq.buffers(batch.column("text"))
             lists = batch.column("runs")
             offsets, flat = lists.offsets.to_numpy(), lists.values
-            start, n, anchor = (flat.field(c).to_numpy() for c in ("start", "n", "anchor"))
-            hot = flat.field("hot").to_numpy(zero_copy_only=False)
+            start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
             for first, last, part, at in seq.parts(data, places):
-                own = np.arange(offsets[first], offsets[last])
+                own = slice(offsets[first], offsets[last])
                 text = np.repeat(np.arange(first, last), np.diff(offsets[first : last + 1]))
-                cold = own[~hot[own]]
-                base = at[text - first]
-                where = base[~hot[own]] + start[cold]
-                raw = part.tobytes()
-                pieces = [raw[a:b] for a, b in zip(where.tolist(), (where + n[cold] + window - 1).tolist(), strict=True)]
-                yield _rows(batch, text[~hot[own]], anchor[cold], start[cold], pieces)
-                warm = own[hot[own]]
-                if len(warm):
-                    length = n[warm]
-                    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-                    begin = np.repeat(start[warm], length) + step
-                    place = np.repeat(base[hot[own]], length) + begin
-                    hashes = seq.Hasher(seq.BYTE_SYMBOL[part]).stretches(place, place + window)
-                    yield _rows(batch, np.repeat(text[hot[own]], length), hashes.view(np.int64), begin, None)
+                where, raw = at[text - first] + start[own], part.tobytes()
+                pieces = [raw[a:b] for a, b in zip(where.tolist(), (where + n[own] + window - 1).tolist(), strict=True)]
+                which, listed = pa.array(text), pa.array(np.arange(own.start, own.stop))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").take(which),
+                        batch.column("tag").take(which),
+                        *(flat.field(c).take(listed) for c in ("anchor", "hot", "start")),
+                        pa.array(pieces, pa.binary()),
+                    ],
+                    ["id", "tag", "anchor", "hot", "start", "bytes"],
+                )
 
     return run
 
 
-def _rows(batch: pa.RecordBatch, text: np.ndarray, key: np.ndarray, start: np.ndarray, pieces: list[bytes] | None) -> pa.RecordBatch:
-    which = pa.array(text)
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column("id").take(which),
-            batch.column("tag").take(which),
-            pa.array(key),
-            pa.array(start.astype(np.int32)),
-            pa.array(pieces, pa.binary()) if pieces is not None else pa.nulls(len(text), pa.binary()),
-        ],
-        ["id", "tag", "key", "start", "bytes"],
-    )
-
-
 def longest_previous_factors(prefix: np.ndarray, position: np.ndarray, depth: int) -> np.ndarray:
     """Longest match, up to ``depth``, of each suffix with one at a smaller position.
 
@@ -167,7 +150,9 @@ def longest_previous_factors(prefix: np.ndarray, position: np.ndarray, depth: in
 
 
 def _factors(window: int):
-    """Later copies among the runs of a group of anchors, as spans of bytes."""
+    """Later copies among the runs of a group as spans of bytes. Of hot anchors, a
+    group has only a part, so for them also the suffixes that are first in it, with
+    the hash of their first ``window`` bytes, to be compared with other groups'."""
 
     def run(rows: pa.Table) -> pa.Table:
         data, places = seq.buffers(rows["bytes"])
@@ -175,24 +160,29 @@ def _factors(window: int):
         n = np.diff(places) - window + 1
         row = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        prefix = np.concatenate(
-            [seq.Hasher(seq.BYTE_SYMBOL[data]).stretches(places[row] + step, places[row] + step + window)]
-        )
+        prefix = seq.Hasher(seq.BYTE_SYMBOL[data]).stretches(places[row] + step, places[row] + step + window)
         later = longest_previous_factors(prefix, ids[row], window) >= window
-        # Neighbouring suffixes of one run make one span.
+        # Neighbouring suffixes of one run make one span; a gap parts the runs.
         flags = np.zeros(len(row) + len(n), bool)
         flags[np.arange(len(row)) + row] = later
         begin, end = _stretches(flags)
-        owner = np.searchsorted(np.cumsum(n + 1), begin, "right")
-        first = (np.cumsum(n + 1) - (n + 1))[owner]
-        base = rows["start"].to_numpy()[owner]
-        which = pa.array(owner)
+        reach = np.cumsum(n + 1)
+        owner = np.searchsorted(reach, begin, "right")
+        first = reach[owner] - (n[owner] + 1)
+        start = rows["start"].to_numpy()
+        open_ = np.flatnonzero(rows["hot"].to_numpy()[row] & ~later)
+        which = pa.array(np.concatenate([owner, row[open_]]))
+        single = start[row[open_]] + step[open_]
         return pa.table(
             {
                 "id": rows["id"].take(which),
                 "tag": rows["tag"].take(which),
-                "start": pa.array((base + begin - first).astype(np.int32)),
-                "end": pa.array((base + end - first + window - 1).astype(np.int32)),
+                "start": pa.array(np.concatenate([start[owner] + begin - first, single]).astype(np.int32)),
+                "end": pa.array(np.concatenate([start[owner] + end - first + window - 1, single + window]).astype(np.int32)),
+                "prefix": pa.array(
+                    np.concatenate([np.zeros(len(owner), np.int64), prefix[open_].view(np.int64)]),
+                    mask=np.arange(len(owner) + len(open_)) < len(owner),
+                ),
             }
         )
 
@@ -265,17 +255,23 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     reps = placed.where("id = first").select("id", "tag", "anchor", "start", "n").join(branching, "anchor")
     lists = reps.groupBy("id", "tag").agg(F.collect_list(F.struct("start", "n", "anchor", "hot")).alias("runs"))
     opened = stored(
-        texts.join(lists, ["id", "tag"]).mapInArrow(_opened(window), f"{keyed}, key bigint, start int, bytes binary"), "suffixes"
+        texts.join(lists, ["id", "tag"]).mapInArrow(
+            _opened(window), f"{keyed}, anchor bigint, hot boolean, start int, bytes binary"
+        ),
+        "opened-runs",
+    )
+    groups = max(1, opened.count() // GROUP_RUNS)
+    dealt = F.pmod(F.when(F.col("hot"), F.xxhash64("anchor", "id")).otherwise(F.xxhash64("anchor")), F.lit(groups))
+    factors = opened.withColumn("group", dealt).groupBy("group").applyInArrow(
+        _factors(window), f"{keyed}, start int, end int, prefix bigint"
     )
-    cold, warm = opened.where("bytes IS NOT NULL"), opened.where("bytes IS NULL").drop("bytes")
-    groups = max(1, cold.count() // GROUP_RUNS)
-    spans = f"{keyed}, start int, end int"
-    in_groups = cold.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("group").applyInArrow(_factors(window), spans)
+    factors = stored(factors, "factors")
+    in_groups, warm = factors.where("prefix IS NULL").drop("prefix"), factors.where("prefix IS NOT NULL")
     earliest = stored(
-        warm.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first"),
+        warm.groupBy("prefix").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("prefix", "first"),
         "earliest",
     )
-    by_suffix = warm.join(earliest, "key").where("id > first").select("id", "tag", "start", F.expr(f"start + {window}").alias("end"))
+    by_suffix = warm.join(earliest, "prefix").where("id > first").select("id", "tag", "start", "end")
     removed = (
         later.unionByName(within).unionByName(in_groups).unionByName(by_suffix)
         .groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag"))
