@@ -6,6 +6,7 @@ the ID is the column of that name wherever it stands."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,22 @@ from revmap.functions.dates import run_stamp
 from revmap.operators.skew import lookup_join, ordered_by
 from revmap.schemas import EXPORT_HEADER, MAPPING_ATTRS
 from revmap.sources.export import read_export
-from revmap.sources.files import folder_name, list_files
+from revmap.sources.files import folder_name, list_files, name_matches
+
+
+def _names(prefix: str) -> str:
+    """The names of the exports of a prefix, as a regular expression."""
+    return re.escape(prefix) + r"(?:_\d{6})?"
 
 
 def exports(spark: SparkSession, root: str, prefix: str) -> DataFrame:
-    """The exports below ``root`` whose name holds ``prefix``, newest first:
-    part files, bytes and times. A ``_`` in the prefix is that character."""
+    """The exports of ``prefix`` below ``root``, at any depth, newest first: part
+    files, bytes and times. Their names are the prefix and a month; ``prefix`` may
+    be such a name itself."""
     return (
         list_files(spark, root, glob="*.csv*")
         .withColumn("export_name", folder_name(F.col("path")))
-        .where(F.col("export_name").contains(prefix))
+        .where(name_matches(F.col("export_name"), _names(prefix)))
         .groupBy("export_name")
         .agg(
             F.count("*").alias("files"),
@@ -37,15 +44,16 @@ def exports(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     )
 
 
-def export_verify(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> DataFrame:
-    """Files and rows of all exports of ``prefix`` against the source's rows."""
+def export_verify(spark: SparkSession, src: DataFrame, root: str, prefix: str, *, header: bool = True) -> DataFrame:
+    """Files and rows of all exports of ``prefix`` against the source's rows;
+    ``header=False`` for exports without one."""
     files = exports(spark, root, prefix).agg(
         F.coalesce(F.sum("files"), F.lit(0)).alias("total_files"),
         F.min("first_modified").alias("first_file_exported"),
         F.max("last_modified").alias("last_file_exported"),
     )
     source = src.agg(F.count("*").alias("source_row_count"))
-    written = _exported(spark, root, prefix, src)
+    written = _exported(spark, root, prefix, src, header)
     frames = [files, source]
     if written is not None:
         frames.append(written.agg(F.count("*").alias("total_rows_exported")))
@@ -65,15 +73,17 @@ def export_verify(spark: SparkSession, src: DataFrame, root: str, prefix: str) -
     )
 
 
-def _exported(spark: SparkSession, root: str, prefix: str, src: DataFrame) -> DataFrame | None:
-    """Rows of every export of ``prefix``, or None if there is none."""
-    if list_files(spark, root, glob="*.csv*").where(folder_name(F.col("path")).contains(prefix)).isEmpty():
+def _exported(spark: SparkSession, root: str, prefix: str, src: DataFrame, header: bool) -> DataFrame | None:
+    """Rows of every export of ``prefix``, or None if there is none. They are found
+    as they are listed, at any depth."""
+    if exports(spark, root, prefix).isEmpty():
         return None
-    rows = read_export(spark, f"{root.rstrip('/')}/*{prefix}*", [c.upper() for c in src.columns])
-    return rows
+    return read_export(spark, root, [c.upper() for c in src.columns], header=header, export_name=_names(prefix))
 
 
-def _latest(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> tuple[DataFrame, list[DataFrame]]:
+def _latest(
+    spark: SparkSession, src: DataFrame, root: str, prefix: str, header: bool
+) -> tuple[DataFrame, list[DataFrame]]:
     """The newest export's listing (at most one row) and, if there is one, the
     counts of its rows. Only that export is read."""
     latest = exports(spark, root, prefix).limit(1)
@@ -81,12 +91,12 @@ def _latest(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> tupl
     listing = latest.select(F.col("export_name").alias("file_name"), "last_modified")
     if row is None:
         return listing, []
-    written = read_export(spark, f"{root.rstrip('/')}/{row.export_name}", [c.upper() for c in src.columns])
+    written = _exported(spark, root, row.export_name, src, header)
     counts = written.agg(F.count("*").alias("exported_row_count"), F.count_distinct("ID").alias("exported_unique_ids"))
     return listing, [counts]
 
 
-def _compared(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> DataFrame:
+def _compared(spark: SparkSession, src: DataFrame, root: str, prefix: str, header: bool) -> DataFrame:
     source = src.agg(
         F.count("*").alias("source_row_count"),
         F.count_distinct("ID").alias("source_unique_ids"),
@@ -94,7 +104,7 @@ def _compared(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> Da
         F.max("data_month").alias("max_data_month"),
         F.count_distinct("data_month").alias("distinct_data_months"),
     )
-    listing, counts = _latest(spark, src, root, prefix)
+    listing, counts = _latest(spark, src, root, prefix, header)
     if not counts:
         # No export: the columns are there, and NULL.
         counts = [listing.select(F.lit(0).alias("n")).where("false").agg(
@@ -104,16 +114,23 @@ def _compared(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> Da
 
 
 def export_qa(
-    spark: SparkSession, src: DataFrame, root: str, prefix: str, run_ts: dt.datetime | str | None = None
+    spark: SparkSession,
+    src: DataFrame,
+    root: str,
+    prefix: str,
+    run_ts: dt.datetime | str | None = None,
+    *,
+    header: bool = True,
 ) -> DataFrame:
-    """The newest export of ``prefix`` against its source, one row. A missing
-    export is reported, not passed over."""
+    """The newest export of ``prefix`` (or the one of that full name) against its
+    source, one row. A missing export is reported, not passed over;
+    ``header=False`` for exports without one."""
     rows_differ = F.col("source_row_count") != F.col("exported_row_count")
     no_file, empty = F.col("file_name").isNull(), F.col("exported_row_count") == 0
     ratio = F.col("exported_row_count").cast("decimal(20,0)") * 100 / F.nullif(
         F.col("source_row_count").cast("decimal(20,0)"), F.lit(0)
     )
-    return _compared(spark, src, root, prefix).select(
+    return _compared(spark, src, root, prefix, header).select(
         F.lit(texts.EXPORT_QA).alias("report_section"),
         "source_row_count",
         F.col("exported_row_count").alias("exported_data_row_count"),
@@ -146,13 +163,13 @@ def export_qa(
     )
 
 
-def export_failures(spark: SparkSession, src: DataFrame, root: str, prefix: str) -> DataFrame:
+def export_failures(spark: SparkSession, src: DataFrame, root: str, prefix: str, *, header: bool = True) -> DataFrame:
     """Data test on the newest export: one row if it is missing, empty or has
     another number of rows than its source, else none."""
     rows_differ = F.col("source_row_count") != F.col("exported_row_count")
     no_file, empty = F.col("file_name").isNull(), F.col("exported_row_count") == 0
     return (
-        _compared(spark, src, root, prefix)
+        _compared(spark, src, root, prefix, header)
         .where(no_file | rows_differ | empty)
         .select(
             F.lit(texts.EXPORT_FAILED).alias("validation_status"),
@@ -165,7 +182,6 @@ def export_failures(spark: SparkSession, src: DataFrame, root: str, prefix: str)
             F.when(no_file, texts.REASON_NO_FILE)
             .when(rows_differ, texts.REASON_ROWS)
             .when(empty, texts.REASON_EMPTY)
-            .otherwise(texts.REASON_UNKNOWN)
             .alias("failure_reason"),
         )
     )

@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from revmap import texts
@@ -36,6 +37,7 @@ class RunConfig:
     strict: bool = False
     pattern: str | None = None
     latest: bool = False
+    on_empty: str = "warn"  # "raise" stops the run at an empty view
     run_ts: dt.datetime | str | None = None
 
     @property
@@ -53,6 +55,7 @@ class StepResult:
     ok: bool
     message: str
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)  # of each report
 
 
 def _read_mapping(spark: SparkSession, cfg: RunConfig) -> DataFrame:
@@ -85,24 +88,34 @@ def _merged_reports(cfg: RunConfig, m: DataFrame, v: DataFrame) -> dict[str, Dat
     }
 
 
+def _written(step: str, cfg: RunConfig, reports: dict[str, DataFrame]) -> StepResult:
+    """Work every report out, into a table of its own, and count its rows."""
+    root = f"{cfg.work_dir.rstrip('/')}/reports/{step}"
+    frames = {name: reload_table(report, f"{root}/{name}") for name, report in reports.items()}
+    return StepResult(step, True, "reports made", frames, {name: frame.count() for name, frame in frames.items()})
+
+
 def _import(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    gate = gate_import(reload_table(_read_mapping(spark, cfg), cfg.mapping_table), strict=cfg.strict)
+    # The gate stands before the swap: a mapping that fails leaves the last good one.
+    staged = reload_table(_read_mapping(spark, cfg), f"{cfg.mapping_table}_staged")
+    gate = gate_import(staged, strict=cfg.strict)
+    reload_table(staged, cfg.mapping_table)
     return StepResult("import", True, gate.message)
 
 
 def _quality_raw(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    return StepResult("quality_raw", True, "reports made", _raw_reports(spark.read.parquet(cfg.mapping_table)))
+    return _written("quality_raw", cfg, _raw_reports(spark.read.parquet(cfg.mapping_table)))
 
 
 def _create_view(spark: SparkSession, cfg: RunConfig) -> StepResult:
     view = _mapped(cfg, spark.read.parquet(cfg.mapping_table))
-    gate = gate_non_empty(reload_table(view, cfg.view_table), on_empty="warn")
+    gate = gate_non_empty(reload_table(view, cfg.view_table), on_empty=cfg.on_empty)
     return StepResult("create_view", True, gate.message)
 
 
 def _quality_merged(spark: SparkSession, cfg: RunConfig) -> StepResult:
     m, v = spark.read.parquet(cfg.mapping_table), spark.read.parquet(cfg.view_table)
-    return StepResult("quality_merged", True, "reports made", _merged_reports(cfg, m, v))
+    return _written("quality_merged", cfg, _merged_reports(cfg, m, v))
 
 
 def _export(spark: SparkSession, cfg: RunConfig) -> StepResult:
@@ -115,10 +128,14 @@ def _export(spark: SparkSession, cfg: RunConfig) -> StepResult:
         months_back=cfg.months_back,
         source=cfg.view_table,
         run_ts=cfg.run_ts,
+        store=False,
     )
-    checked = export_qa.export_qa(spark, v, cfg.export_dir, cfg.prefix, cfg.run_ts)
-    status = checked.select("export_status").first()[0]
-    return StepResult("export", status == texts.PASS_EXPORT, status, {"receipt": receipt, "qa": checked})
+    # That export and no other: by the name on the receipt.
+    checked = export_qa.export_qa(spark, v, cfg.export_dir, receipt.first().exported_file, cfg.run_ts)
+    done = _written("export", cfg, {"receipt": receipt, "qa": checked})
+    done.message = done.frames["qa"].first().export_status
+    done.ok = done.message == texts.PASS_EXPORT
+    return done
 
 
 _RUN: dict[str, Callable[[SparkSession, RunConfig], StepResult]] = {
@@ -144,8 +161,9 @@ def _plan(spark: SparkSession, cfg: RunConfig) -> dict[str, dict[str, DataFrame]
 
 
 def run(spark: SparkSession, cfg: RunConfig, *, step: str = "all", dry_run: bool = False) -> list[StepResult]:
-    """Run one step or all in order, up to the first that fails. A dry run
-    writes nothing and gives back the frames the steps would compute."""
+    """Run one step or all in order, up to the first that fails, be it at a gate or
+    by an error in Spark. A dry run writes nothing and gives back the frames the
+    steps would compute."""
     if step != "all" and step not in _RUN:
         raise ValueError(f"unknown step {step}; there are {', '.join(STEPS)}")
     names = STEPS if step == "all" else [step]
@@ -156,7 +174,7 @@ def run(spark: SparkSession, cfg: RunConfig, *, step: str = "all", dry_run: bool
     for name in names:
         try:
             results.append(_RUN[name](spark, cfg))
-        except GateError as error:
+        except (GateError, FileNotFoundError, PySparkException) as error:
             results.append(StepResult(name, False, str(error)))
         if not results[-1].ok:
             break

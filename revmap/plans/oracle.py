@@ -81,6 +81,7 @@ copies AS (
   UNION ALL SELECT '  ', * FROM customer WHERE c_acctbal >= 3000 AND c_acctbal < 3020
 ),
 m AS (SELECT ID,{_MAPPING_FIELDS} FROM copies)"""
+FAULTY = DIRTY.replace("FROM customer WHERE c_acctbal >= 0\n", "FROM customer\n")
 MONTH = "r AS (SELECT * FROM rev WHERE data_month = DATE '1998-01-01')"
 VIEW = f"v AS (SELECT r.*, {', '.join('m.' + c for c in MAPPING_ATTRS)} FROM r LEFT JOIN m ON r.id = m.ID)"
 _FIELDS = ", ".join("m." + c for c in MAPPING_ATTRS)
@@ -101,7 +102,7 @@ def _with(*ctes: str) -> str:
 
 
 def _raw(body: str) -> str:
-    return _with(DIRTY) + body
+    return _with(FAULTY) + body
 
 
 def _month(body: str, mapping: str = DIRTY) -> str:
@@ -452,6 +453,14 @@ ORACLE["csv_mapping_latest"] = _with(CLEAN) + "SELECT * FROM m"
 ORACLE["load_report"] = _raw("""
 SELECT count(*) AS row_count, count(*) AS row_parsed, 0 AS error_count, count(*) FILTER (ID IS NULL) AS null_ids,
        'LOADED' AS status FROM m""").replace("0 AS error_count", "CAST(0 AS BIGINT) AS error_count")
+ORACLE["csv_mapping_nested"] = ORACLE["csv_mapping"]
+ORACLE["csv_ragged_continue"] = f"""
+SELECT ID, Oracle_GL_Account
+FROM (SELECT 'C.' || c_custkey AS ID, c_acctbal AS balance, {_MAPPING_FIELDS} FROM customer) WHERE balance >= 0"""
+ORACLE["load_report_errors"] = """
+SELECT multi_line, count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS error_count, 6 AS first_error_column,
+       'LOADED_WITH_ERRORS' AS status
+FROM customer, (VALUES (true), (false)) AS t(multi_line) GROUP BY 1"""
 ORACLE["csv_roundtrip"] = _flagged(f"SELECT {_TEXTS} FROM f")
 ORACLE["add_header"] = ORACLE["csv_roundtrip"]
 ORACLE["export_receipt"] = _flagged("""
@@ -542,14 +551,49 @@ ORACLE["partitioned_revenue"] = _month(
     f"SELECT {_REV_LIST.replace(', r.aggregation_source', '')}, {_FIELDS} FROM r LEFT JOIN m ON r.id = m.ID", CLEAN
 )
 ORACLE["ingest_stream"] = _raw("SELECT * FROM m")
-ORACLE["monthly_run"] = _raw("""
-, steps AS (
-  SELECT * FROM (VALUES (1, 'import'), (2, 'quality_raw'), (3, 'create_view'), (4, 'quality_merged'), (5, 'export'))
-    AS t(n, step)),
+ORACLE["ingest_latest"] = _raw("SELECT * FROM m WHERE Oracle_Invoice_Group >= 'F'")
+ORACLE["ingest_strict"] = """
+SELECT 'twice' AS arrival, false AS ok, 'Data quality check failed: Duplicate IDs found' AS message, CAST(0 AS BIGINT) AS n
+UNION ALL
+SELECT 'once', true, 'Import validation passed: ' || count(*) || ' rows loaded', count(*) FROM customer"""
+def _size(name: str) -> str:
+    return f"(SELECT count(*) FROM ({ORACLE[name]}))"
+
+
+_MONTH_FAULTY = _with(REV, MONTH, FAULTY, VIEW)
+_REPORTS = {
+    ("quality_raw", "summary"): "1",
+    ("quality_raw", "duplicates"): _size("raw_duplicates"),
+    ("quality_raw", "null_ids"): _size("raw_null_ids"),
+    ("quality_raw", "null_critical"): _size("raw_null_critical"),
+    ("quality_merged", "coverage"): "1",
+    ("quality_merged", "report"): f"(SELECT count(*) FROM ({ORACLE['merged_report']}))",
+    ("quality_merged", "completeness"): "1",
+    ("quality_merged", "duplicates"): f"(SELECT count(*) FROM ({_MONTH_FAULTY} SELECT id FROM v GROUP BY id HAVING count(*) > 1))",
+    ("quality_merged", "by_mapping"): f"(SELECT count(*) FROM ({_MONTH_FAULTY} SELECT DISTINCT Oracle_Customer_Name, Oracle_GL_Account FROM v))",
+    ("quality_merged", "unmapped"): f"(SELECT count(*) FROM ({_MONTH_FAULTY} SELECT * FROM r WHERE id NOT IN (SELECT ID FROM m WHERE ID IS NOT NULL)))",
+    ("quality_merged", "unused"): f"(SELECT count(*) FROM ({_MONTH_FAULTY} SELECT * FROM m WHERE ID IS NULL OR ID NOT IN (SELECT id FROM r)))",
+    ("export", "receipt"): "1",
+    ("export", "qa"): "1",
+}
+_STEPS = ["import", "quality_raw", "create_view", "quality_merged", "export"]
+_REPORT_ROWS = " UNION ALL ".join(
+    f"SELECT '{step}' AS step, '{report}' AS report, CAST({sql} AS BIGINT) AS report_rows" for (step, report), sql in _REPORTS.items()
+)
+_STEP_ROWS = ", ".join(f"({n}, '{step}')" for n, step in enumerate(_STEPS, 1))
+ORACLE["monthly_run"] = _raw(f"""
+, steps AS (SELECT * FROM (VALUES {_STEP_ROWS}) AS t(n, step)),
+reports AS ({_REPORT_ROWS}),
 g AS (SELECT count(*) AS a, count(DISTINCT ID) AS b FROM m)
-SELECT CAST(n AS BIGINT) AS n, step, true AS ok,
-       CASE step WHEN 'import' THEN if(a <> b, 'WARNING: Duplicate IDs found in imported data',
+SELECT CAST(n AS BIGINT) AS n, steps.step, true AS ok,
+       CASE steps.step WHEN 'import' THEN if(a <> b, 'WARNING: Duplicate IDs found in imported data',
                                        'Import validation passed: ' || a || ' rows loaded')
                  WHEN 'create_view' THEN 'rows present' WHEN 'export' THEN 'PASS - Export validation successful'
-                 ELSE 'reports made' END AS message
-FROM steps, g""")
+                 ELSE 'reports made' END AS message, report, report_rows
+FROM steps CROSS JOIN g LEFT JOIN reports ON reports.step = steps.step""")
+ORACLE["export_verify_bare"] = ORACLE["export_verify"]
+ORACLE["export_summary_bare"] = _flagged("""
+SELECT count(*) AS source_row_count, count(*) AS exported_data_row_count, count(DISTINCT id) AS source_unique_ids,
+       count(DISTINCT id) AS exported_unique_ids, 'revenue_mapped_199801' AS file_name,
+       'PASS - Export validation successful' AS export_status FROM f""")
+ORACLE["export_sample"] = _flagged("SELECT least(7, count(*)) AS n FROM f")

@@ -40,7 +40,7 @@ def query(fn: Query) -> Query:
 
 
 def _raw(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf: operator(v.mapping_dirty(spark, sf))
+    QUERIES[name] = lambda spark, sf: operator(v.mapping_faulty(spark, sf))
 
 
 # Raw mapping checks
@@ -340,9 +340,9 @@ def _stored_flagged(spark, sf, root):
 
 
 def _mapping_files(spark, sf, root):
-    """The dirty mapping as delimited files, and their folder."""
+    """The faulty mapping as delimited files, and their folder."""
     path = f"{root}/mapping"
-    m = v.mapping_dirty(spark, sf)
+    m = v.mapping_faulty(spark, sf)
     m.write.options(**mc.CSV_OPTS).option("header", True).option("emptyValue", "").csv(path)
     return path
 
@@ -379,6 +379,54 @@ def load_report(spark, sf):
     )
 
 
+@query
+def csv_mapping_nested(spark, sf):
+    """The mapping from files in folders below folders, by pattern."""
+    root = scratch_dir(spark, "nested")
+    low = F.col("Oracle_Invoice_Group") < "F"
+    m = v.mapping_faulty(spark, sf)
+    for folder, some in (("in", m.where(low)), ("in/deep/er", m.where(~low))):
+        some.write.options(**mc.CSV_OPTS).option("header", True).option("emptyValue", "").mode("append").csv(f"{root}/{folder}")
+    return mc.read_mapping(spark, f"{root}/in", pattern=r"part-.*\.csv")
+
+
+def _ragged_files(spark, sf, root):
+    """Mapping files in which the rows of customers in debt lack their last field."""
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in MAPPING_COLS]
+    short = F.col("debt") & F.lit(True)
+    customers = v.table(spark, sf, "customer").select(F.concat(F.lit("C."), "c_custkey").alias("who"), (F.col("c_acctbal") < 0).alias("debt"))
+    m = v.mapping_full(spark, sf).join(customers, F.col("ID") == F.col("who"))
+    line = F.when(short, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *fields))
+    # One column whose name is the header; nothing in it is quoted.
+    lines = m.select(line.alias(",".join(MAPPING_COLS)))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(f"{root}/ragged")
+    return f"{root}/ragged"
+
+
+@query
+def csv_ragged_continue(spark, sf):
+    """The rows that are whole, though only some columns are read."""
+    path = _ragged_files(spark, sf, scratch_dir(spark, "ragged"))
+    m = mc.read_mapping(spark, path, on_error="continue", multi_line=False)
+    return m.select("ID", "Oracle_GL_Account")
+
+
+@query
+def load_report_errors(spark, sf):
+    """The load report of files with short rows, in both ways of reading."""
+    path = _ragged_files(spark, sf, scratch_dir(spark, "ragged"))
+    reports = [mc.load_report(spark, path, run_ts=RUN_TS, multi_line=m).withColumn("multi_line", F.lit(m)) for m in (True, False)]
+    return (
+        reports[0].unionByName(reports[1]).groupBy("multi_line")
+        .agg(
+            F.sum("row_count").alias("row_count"),
+            F.sum("error_count").alias("error_count"),
+            F.max("first_error_column").alias("first_error_column"),
+            F.max("status").alias("status"),
+        )
+    )
+
+
 @query
 def csv_roundtrip(spark, sf):
     """The flagged view after an export."""
@@ -417,7 +465,8 @@ def add_header(spark, sf):
 def _partial_export(spark, sf, root):
     """The flagged view, and an export of its mapped rows only."""
     view = _stored_flagged(spark, sf, root)
-    ex.export_csv(view.where(F.col("ID_mapped_record_flag") == "Y"), f"{root}/out", PREFIX, as_of=AS_OF, run_ts=RUN_TS)
+    mapped = view.where(F.col("ID_mapped_record_flag") == "Y")
+    ex.export_csv(mapped, f"{root}/out", PREFIX, as_of=AS_OF, run_ts=RUN_TS, store=False)
     return view
 
 
@@ -597,7 +646,7 @@ def table_rebuild(spark, sf):
     """A table created empty, loaded, and rebuilt from itself without NULL IDs."""
     path = scratch_dir(spark, "table")
     tb.create_if_absent(spark, path)
-    tb.reload_table(v.mapping_dirty(spark, sf), path)
+    tb.reload_table(v.mapping_faulty(spark, sf), path)
     return tb.rebuild_table(spark, path, lambda m: dq.typed(m, require_id=True))
 
 
@@ -610,16 +659,43 @@ def partitioned_revenue(spark, sf):
     return mp.map_revenue(stored, v.mapping(spark, sf), as_of=AS_OF).drop("aggregation_source")
 
 
+def _arrivals(spark, sf, root):
+    """The faulty mapping in two arrivals of several files, a file to a batch."""
+    low = F.col("Oracle_Invoice_Group") < "F"
+    m = v.mapping_faulty(spark, sf)
+    for arrived in (m.where(low), m.where(~low)):
+        files = arrived.repartition(3, "Oracle_Customer_Name_ID").write.mode("append").options(**mc.CSV_OPTS)
+        files.option("header", True).csv(f"{root}/in")
+        ingest.ingest_new_files(spark, f"{root}/in", f"{root}/checkpoint", f"{root}/mapping", max_files=1)
+    return f"{root}/mapping"
+
+
 @query
 def ingest_stream(spark, sf):
     """The mapping loaded by a stream in two arrivals."""
+    return ingest.read_ingested(spark, _arrivals(spark, sf, scratch_dir(spark, "stream")))
+
+
+@query
+def ingest_latest(spark, sf):
+    """The latest of two arrivals, whole though it came in several batches."""
+    return ingest.read_ingested(spark, _arrivals(spark, sf, scratch_dir(spark, "stream")), latest_only=True)
+
+
+@query
+def ingest_strict(spark, sf):
+    """An arrival with every ID in two files, which is set aside, and a clean one after it."""
     root = scratch_dir(spark, "stream")
-    low = F.col("Oracle_Invoice_Group") < "F"
-    m = v.mapping_dirty(spark, sf)
-    for arrived in (m.where(low), m.where(~low)):
-        arrived.write.mode("append").options(**mc.CSV_OPTS).option("header", True).csv(f"{root}/in")
-        ingest.ingest_new_files(spark, f"{root}/in", f"{root}/checkpoint", f"{root}/mapping").awaitTermination()
-    return ingest.read_ingested(spark, f"{root}/mapping")
+    m = v.mapping_full(spark, sf)
+    outcome = []
+    for n, (name, arrived) in enumerate((("twice", m), ("twice", m), ("once", m)), 1):
+        arrived.write.mode("append").options(**mc.CSV_OPTS).option("header", True).csv(f"{root}/{name}/{n}")
+        if n > 1:
+            got = ingest.ingest_new_files(
+                spark, f"{root}/{name}", f"{root}/{name}-checkpoint", f"{root}/{name}-mapping", strict=True, max_files=1
+            )
+            outcome.append((name, got.ok, got.message, ingest.read_ingested(spark, f"{root}/{name}-mapping").count()))
+    return spark.createDataFrame(outcome, "arrival string, ok boolean, message string, n bigint")
 
 
 @query
@@ -635,5 +711,42 @@ def monthly_run(spark, sf):
         run_ts=RUN_TS,
     )
     results = monthly.run(spark, cfg)
-    rows = [(i, r.step, r.ok, r.message) for i, r in enumerate(results, 1)]
-    return spark.createDataFrame(rows, "n bigint, step string, ok boolean, message string")
+    rows = [
+        (i, r.step, r.ok, r.message, name, n)
+        for i, r in enumerate(results, 1)
+        for name, n in (r.rows or {None: None}).items()
+    ]
+    return spark.createDataFrame(rows, "n bigint, step string, ok boolean, message string, report string, report_rows bigint")
+
+
+@query
+def export_verify_bare(spark, sf):
+    """As export_verify, of an export without headers in a folder below, beside one whose name holds the prefix."""
+    root = scratch_dir(spark, "bare")
+    view = _stored_flagged(spark, sf, root)
+    ex.export_csv(view, f"{root}/out/deep", PREFIX, header=False, run_ts=RUN_TS, store=False)
+    ex.export_csv(view.limit(3), f"{root}/out", f"old_{PREFIX}", header=False, run_ts=RUN_TS)
+    return qa.export_verify(spark, view, f"{root}/out", PREFIX, header=False).drop(
+        "total_files", "first_file_exported", "last_file_exported"
+    )
+
+
+@query
+def export_summary_bare(spark, sf):
+    """The check of the newest export, without headers, in one file."""
+    root = scratch_dir(spark, "bare")
+    view = _stored_flagged(spark, sf, root)
+    ex.export_csv(view, f"{root}/out", PREFIX, header=False, single=True, run_ts=RUN_TS, store=False)
+    found = qa.export_qa(spark, view, f"{root}/out", PREFIX, RUN_TS, header=False)
+    return found.select("source_row_count", "exported_data_row_count", "source_unique_ids", "exported_unique_ids", "file_name", "export_status")
+
+
+@query
+def export_sample(spark, sf):
+    """A sample of an export without headers: its size, and that its rows are the view's."""
+    root = scratch_dir(spark, "sample")
+    view = _stored_flagged(spark, sf, root)
+    ex.export_csv(view, f"{root}/out", PREFIX, header=False, run_ts=RUN_TS, store=False)
+    some = ex.sample_export(spark, f"{root}/out", 7, header=False, export_name=f"{PREFIX}.*")
+    known = some.join(view.select("ID").distinct(), "ID", "left_semi")
+    return known.agg(F.count("*").alias("n"))

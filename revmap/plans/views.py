@@ -168,10 +168,18 @@ def mapping(spark: SparkSession, sf_dir: str, least: float = 0) -> DataFrame:
     return table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= least).selectExpr(*_mapping_columns())
 
 
+def mapping_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`mapping_full` with faults: IDs twice, extra rows with a NULL or a
+    blank ID."""
+    return _with_faults(table(spark, sf_dir, "customer"))
+
+
 def mapping_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`mapping` with faults: IDs twice, extra rows with a NULL or a blank
-    ID."""
-    rows = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    """:func:`mapping` with the same faults; it leaves a gap for coverage to find."""
+    return _with_faults(table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0))
+
+
+def _with_faults(rows: DataFrame) -> DataFrame:
     extra = (
         f"CASE WHEN c_acctbal >= 9800 THEN {_IDENT} "
         "WHEN c_acctbal >= 3000 AND c_acctbal < 3020 THEN '  ' END"

@@ -15,6 +15,9 @@ from revmap.functions.columns import null_tokens
 from revmap.functions.dates import prior_month_value, run_stamp, yyyymm
 from revmap.operators.skew import ordered_by
 from revmap.schemas import CSV_OPTS, EXPORT_HEADER, string_schema
+from revmap.session import scratch_dir
+from revmap.sources.files import folder_name, name_matches
+from revmap.sources.tables import reload_table
 
 # Fixed value: the size cap of one exported file in bytes.
 MAX_FILE_BYTES = 5368709120
@@ -39,25 +42,28 @@ def export_csv(
     overwrite: bool = True,
     source: str = "",
     run_ts: dt.datetime | str | None = None,
+    store: bool = True,
 ) -> DataFrame:
     """Write ``df`` and return a one-row receipt.
 
     The folder is named by the latest month in the data, or with ``as_of`` by
     the month ``months_back`` before it. With ``as_string`` values are written
     as text under upper-case names. A file holds ``max_records`` rows, or as
-    many as fit ``max_bytes`` by the mean row. ``single`` writes one file
-    through one task, and is refused for more than that.
-
-    Month and mean row come from one aggregate over ``df``, the sort reads it
-    once more to find its ranges, and the write a third time: pass a stored
-    table rather than a costly query. With ``as_of`` and ``max_records`` there
-    is no aggregate."""
-    month, rows_per_file, rows = None, max_records, None
+    many as fit ``max_bytes`` if all were as large as the largest, so no file
+    exceeds it. ``single`` writes one file through one task, and is refused for
+    more bytes than that.
+
+    The rows are read up to three times, to measure, to find the ranges of the
+    sort and to write, so ``df`` is stored first and worked out once. Pass
+    ``store=False`` for a frame that only reads a table."""
+    if store:
+        df = reload_table(df, scratch_dir(df.sparkSession, "export"))
+    month, rows_per_file, size, rows = None, max_records, 0, 0
     if as_of is not None:
         month = prior_month_value(as_of, months_back).strftime("%Y%m")
     if month is None or rows_per_file is None or single:
         found = _measure(df, month_col if month is None else None)
-        month, rows = month or found.month, found.n
+        month, size, rows = month or found.month, found.bytes or 0, found.n
         rows_per_file = rows_per_file or max(1, int(max_bytes // (found.row_bytes or 1)))
     if month is None:
         raise ValueError(f"no {month_col} in the data to name the export by; pass as_of")
@@ -66,8 +72,8 @@ def export_csv(
     if as_string:
         out = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
     if single:
-        if rows > rows_per_file:
-            raise ValueError(f"more than {rows_per_file} rows for one file: export with single=False")
+        if size > max_bytes or rows > (max_records or rows):
+            raise ValueError(f"{rows} rows of {size} bytes are too many for one file: export with single=False")
         out = out.repartition(1)
         if order_by is not None:
             out = out.sortWithinPartitions(F.asc_nulls_last(order_by))
@@ -80,7 +86,7 @@ def export_csv(
         .option("nullValue", null_value)
         .option("emptyValue", "")
         .option("compression", compression or "none")
-        .option("maxRecordsPerFile", rows_per_file)
+        .option("maxRecordsPerFile", 0 if single else rows_per_file)
         .csv(path)
     )
     return df.sparkSession.range(1).select(
@@ -94,12 +100,14 @@ def export_csv(
 
 
 def _measure(df: DataFrame, month_col: str | None) -> Row:
-    """The latest month, the rows and their mean size as text, in one pass."""
+    """The latest month, and the sizes of all rows and of the largest as text, in one pass."""
     month = F.lit(None).cast("string") if month_col is None else yyyymm(F.max(month_col))
     text = F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])
-    # Room for the separators concat_ws leaves out at NULL, and for quotes.
-    size = F.octet_length(text) + 3 * len(df.columns)
-    return df.agg(month.alias("month"), F.count("*").alias("n"), F.avg(size).alias("row_bytes")).first()
+    # Room for the separators concat_ws leaves out at NULL, and for quotes; a quote
+    # within a value is written with another.
+    inner = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    size = F.octet_length(text) + inner + 3 * len(df.columns) + 1
+    return df.agg(month.alias("month"), F.count("*").alias("n"), F.sum(size).alias("bytes"), F.max(size).alias("row_bytes")).first()
 
 
 def export_record(df: DataFrame, root: str, record_id: str, **kw) -> DataFrame:
@@ -107,19 +115,34 @@ def export_record(df: DataFrame, root: str, record_id: str, **kw) -> DataFrame:
     return export_csv(df.where(F.col("ID") == record_id), root, "single_record", **kw)
 
 
-def read_export(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
-    """An export by column name: strings with null tokens turned to NULL, and
-    the export folder and file each row came from."""
+def read_export(
+    spark: SparkSession,
+    path: str,
+    names: list[str] | None = None,
+    *,
+    header: bool = True,
+    multi_line: bool = True,
+    export_name: str | None = None,
+) -> DataFrame:
+    """An export by column name, or with ``header=False`` by position: strings with
+    null tokens turned to NULL, and the export folder and file each row came from.
+    ``path`` is an export or a folder of exports at any depth; ``export_name``, a
+    regular expression, then picks those of that name. Without ``multi_line`` large
+    files are split."""
     names = names or EXPORT_HEADER
     rows = (
         spark.read.schema(string_schema(names))
         .options(**CSV_OPTS)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("enforceSchema", False)
+        .option("header", header)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", not header)
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv*")
         .csv(path)
     )
+    if export_name is not None:
+        # Spark evaluates this on the file listing: other files are not opened.
+        rows = rows.where(name_matches(folder_name(F.col("_metadata.file_path")), export_name))
     parts = F.split(F.col("_metadata.file_path"), "/")
     return null_tokens(
         rows.select(*names, F.element_at(parts, -2).alias("export_name"), F.element_at(parts, -1).alias("file_name")),
@@ -127,8 +150,19 @@ def read_export(spark: SparkSession, path: str, names: list[str] | None = None)
     )
 
 
+def sample_export(spark: SparkSession, path: str, n: int = 10, **kw) -> DataFrame:
+    """Some ``n`` rows of the exports in ``path``, picked like :func:`read_export` does."""
+    return read_export(spark, path, **kw).limit(n)
+
+
 def add_header(
-    spark: SparkSession, src: str, dst: str, header_row: str | None = None, *, order_by: str | None = None
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    header_row: str | None = None,
+    *,
+    order_by: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Write a copy of a header-less export with a header. The header defaults
     to the export's; a file with another number of columns is an error."""
@@ -137,7 +171,7 @@ def add_header(
         spark.read.schema(string_schema(names))
         .options(**CSV_OPTS)
         .option("header", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .csv(src)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,12 @@ from revmap.sources.files import file_name, latest_file, list_files, name_matche
 CORRUPT = "_corrupt_record"
 
 
+def _any_row() -> Column:
+    """True of every row. It reads a column of the file: Spark refuses to read the
+    corrupt record alone, as a count would."""
+    return F.length(F.coalesce("ID", F.lit(""))) >= 0
+
+
 def _raw(
     spark: SparkSession, path: str, *, pattern: str | None, latest: bool, mode: str, check_header: bool, multi_line: bool
 ) -> DataFrame:
@@ -31,6 +37,9 @@ def _raw(
         .option("multiLine", multi_line)
         .option("enforceSchema", not check_header)
         .option("mode", mode)
+        # All columns are parsed whatever is read later, so a bad row is one to every reader.
+        .option("columnPruning", False)
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
     if pattern is not None and not latest:
@@ -49,8 +58,8 @@ def read_mapping(
     check_header: bool = True,
     multi_line: bool = True,
 ) -> DataFrame:
-    """The mapping from one file, or from a folder: every file, those whose
-    name matches ``pattern``, or the ``latest`` of them.
+    """The mapping from one file, or from a folder and those below it: every file,
+    those whose name matches ``pattern``, or the ``latest`` of them.
 
     Short rows are filled with NULL and extra fields dropped
     (``on_error="abort"``: only a file the parser cannot read stops the load).
@@ -65,7 +74,7 @@ def read_mapping(
         spark, path, pattern=pattern, latest=latest, mode=mode, check_header=check_header, multi_line=multi_line
     )
     if on_error == "continue":
-        raw = raw.where(F.col(CORRUPT).isNull())
+        raw = raw.where(F.col(CORRUPT).isNull() & _any_row())
     return null_tokens(raw.select(*MAPPING_COLS), MAPPING_COLS)
 
 
@@ -78,9 +87,11 @@ def load_report(
     check_header: bool = True,
     multi_line: bool = True,
 ) -> DataFrame:
-    """What a load of ``path`` reads, one row per file: size, rows, rows with
-    the wrong number of fields, the first such record and where it is. Counted
-    in one pass while parsing; nothing is cached."""
+    """What a load of ``path`` and the folders below it reads, one row per file:
+    size, rows, rows with the wrong number of fields, and the first such record: its
+    number (NULL where several tasks read the file, as none knows the rows before
+    its own) and its first missing or surplus column. Counted in one pass while
+    parsing; nothing is cached."""
     raw = _raw(
         spark,
         path,
@@ -90,7 +101,7 @@ def load_report(
         check_header=check_header,
         multi_line=multi_line,
     )
-    rows = raw.select(
+    rows = raw.where(_any_row()).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("position"),
@@ -98,14 +109,19 @@ def load_report(
         CORRUPT,
     )
     bad = F.when(F.col(CORRUPT).isNotNull(), F.col("position"))
+    # The upper bits of a position are the task's number.
+    one_task = F.shiftright(F.min("position"), 33) == F.shiftright(F.max("position"), 33)
     counted = rows.groupBy("path").agg(
         F.first("file_size").alias("file_size"),
         F.count("*").alias("row_parsed"),
         F.count(CORRUPT).alias("error_count"),
         count_null("ID").alias("null_ids"),
         F.min_by(CORRUPT, bad).alias("first_error"),
-        (F.min(bad) - F.min("position") + 1).alias("first_error_record"),
+        F.when(one_task, F.min(bad) - F.min("position") + 1).alias("first_error_record"),
     )
+    # Commas outside quotes end a field.
+    fields = F.size(F.split("first_error", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    column = F.when(F.col("first_error").isNotNull(), F.least(fields, F.lit(len(MAPPING_COLS))) + 1)
     return counted.select(
         file_name(F.col("path")).alias("file_name"),
         "file_size",
@@ -115,6 +131,7 @@ def load_report(
         "null_ids",
         "first_error",
         "first_error_record",
+        column.alias("first_error_column"),
         F.when(F.col("error_count") == 0, "LOADED").otherwise("LOADED_WITH_ERRORS").alias("status"),
         run_stamp(run_ts).alias("last_load_time"),
     )
@@ -127,17 +144,24 @@ def recent_loads(history: DataFrame, now: dt.datetime | str, hours: int = 1) ->
 
 
 def read_positional(
-    spark: SparkSession, path: str, n_cols: int, *, max_rows: int | None = None, names: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    n_cols: int,
+    *,
+    max_rows: int | None = None,
+    names: list[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A delimited file by position: c1..cn, file name and time, and the row's
     number in its file. With ``max_rows`` only the first rows of each file are
-    kept, and each task cuts its own before the shuffle."""
+    kept, and each task cuts its own before the shuffle. Without ``multi_line``
+    large files are split."""
     columns = names or [f"c{i}" for i in range(1, n_cols + 1)]
     rows = (
         spark.read.schema(string_schema(columns))
         .options(**CSV_OPTS)
         .option("header", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .csv(path)
         .select(

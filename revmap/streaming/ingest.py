@@ -1,24 +1,46 @@
-"""Incremental ingest: load mapping files as they arrive."""
+"""Incremental ingest: load mapping files as they arrive.
+
+What one call finds is one arrival. The stream may cut it into any number of
+batches; these are staged, and the arrival passes its gate, is loaded and is later
+told from others as a whole."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from revmap.functions.columns import null_tokens
-from revmap.operators.gates import gate_import
+from revmap.operators.gates import GateError, gate_import
 from revmap.schemas import CSV_OPTS, MAPPING, MAPPING_COLS
+from revmap.sources.files import list_files
+
+NO_NEW_FILES = "no new files"
+_LEDGER = "arrival bigint, batch bigint, ok boolean, message string"
+
 
+@dataclass(frozen=True)
+class Arrival:
+    """What became of the files of one call; ``number`` is None without new files."""
 
-def mapping_stream(spark: SparkSession, root: str, glob: str = "*.csv", max_files: int = 1000) -> DataFrame:
-    """New mapping files below ``root`` as a stream of rows. At most
-    ``max_files`` files make one batch, whatever has piled up."""
+    ok: bool
+    message: str
+    number: int | None = None
+
+
+def mapping_stream(
+    spark: SparkSession, root: str, glob: str = "*.csv", max_files: int = 1000, multi_line: bool = True
+) -> DataFrame:
+    """New mapping files below ``root`` as a stream of rows, ``max_files`` to a
+    batch. Turn ``multi_line`` off for large files without line breaks in quotes,
+    which can then be split."""
     rows = (
         spark.readStream.schema(MAPPING)
         .options(**CSV_OPTS)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
@@ -37,31 +59,65 @@ def ingest_new_files(
     glob: str = "*.csv",
     strict: bool = False,
     max_files: int = 1000,
-) -> StreamingQuery:
-    """Load what has arrived since the last call and stop. Every batch passes
-    the import gate and is written to a folder of its own in ``target``, named
-    by the batch, so a batch that is repeated after a failure replaces itself.
-    The checkpoint remembers the files; a corrected file needs a new name."""
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        # Counted and written: the files of the batch are parsed once more
-        # rather than kept, as a batch may be larger than memory.
-        gate_import(batch, strict=strict)
-        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
-
-    return (
-        mapping_stream(spark, root, glob, max_files)
+    multi_line: bool = True,
+) -> Arrival:
+    """Load what has arrived since the last call, and wait for it.
+
+    An arrival that passes the import gate is written to a folder of its own in
+    ``target``; one that fails goes to ``<target>-rejected`` and the next call goes
+    on. ``<target>-arrivals`` lists the batches of each with the gate's message. A
+    call that breaks off is taken up by the next: batches are staged under their
+    number and an arrival is named by its first batch, so what is repeated replaces
+    itself. The checkpoint remembers the files; a corrected file needs a new name."""
+    target, staged = target.rstrip("/"), f"{target.rstrip('/')}-staged"
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
+
+    (
+        mapping_stream(spark, root, glob, max_files, multi_line)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(load)
+        .foreachBatch(stage)
         .start()
+        .awaitTermination()
     )
+    number = F.regexp_extract("path", r"/batch=(\d+)/", 1).cast("bigint")
+    there = list_files(spark, staged, glob="*.parquet").select(number.alias("batch")).distinct()
+    new = there.join(arrivals(spark, target).select("batch"), "batch", "left_anti")
+    # The batches of this arrival only.
+    batches = sorted(row.batch for row in new.collect())
+    if not batches:
+        return Arrival(True, NO_NEW_FILES)
+    rows = spark.read.schema(MAPPING).parquet(*[f"{staged}/batch={b}" for b in batches])
+    try:
+        result = Arrival(True, gate_import(rows, strict=strict).message, batches[0])
+    except GateError as error:
+        result = Arrival(False, str(error), batches[0])
+    rows.write.mode("overwrite").parquet(f"{target if result.ok else target + '-rejected'}/arrival={batches[0]}")
+    done = spark.createDataFrame([(batches[0], b, result.ok, result.message) for b in batches], _LEDGER)
+    done.write.mode("append").parquet(f"{target}-arrivals")
+    return result
+
+
+def _or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def arrivals(spark: SparkSession, target: str) -> DataFrame:
+    """The batches of all arrivals so far, whether they were loaded, and the gate's message."""
+    return _or_empty(spark, f"{target.rstrip('/')}-arrivals", _LEDGER)
 
 
 def read_ingested(spark: SparkSession, target: str, *, latest_only: bool = False) -> DataFrame:
-    """The rows loaded so far, or those of the latest batch alone (truncate and
-    reload)."""
-    rows = spark.read.parquet(target)
+    """The rows loaded so far, or those of the latest arrival alone (truncate and
+    reload). Before anything is loaded there are none."""
+    rows = _or_empty(spark, target, ", ".join(f"{c} string" for c in [*MAPPING_COLS]) + ", arrival bigint")
     if latest_only:
-        rows = rows.where(F.col("batch") == rows.agg(F.max("batch")).scalar())
+        rows = rows.where(F.col("arrival") == rows.agg(F.max("arrival")).scalar())
     return rows.select(*MAPPING_COLS)

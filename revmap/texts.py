@@ -66,7 +66,6 @@ EXPORT_FAILED = "EXPORT VALIDATION FAILED"
 REASON_NO_FILE = "File not found in S3"
 REASON_ROWS = "Row count mismatch"
 REASON_EMPTY = "Exported file is empty"
-REASON_UNKNOWN = "Unknown validation error"
 MISSING_IN_EXPORT = "MISSING IN EXPORT"
 RECORD_EXISTS = "RECORD EXISTS CHECK"
 EXPORTED_CHECK = "EXPORTED FILE CHECK"

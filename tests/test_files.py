@@ -194,6 +194,50 @@ def test_one_file_has_a_limit(view, tmp_path):
         ex.export_csv(view, str(tmp_path), "mapped", single=True, max_records=6)
 
 
+def test_no_file_exceeds_its_cap(spark, tmp_path):
+    uneven = spark.range(0, 400, 1, 1).selectExpr("id AS ID", "repeat('\"x', IF(id < 200, 400, 4)) AS text")
+    path = ex.export_csv(uneven, str(tmp_path), "uneven", as_of="2025-10-15", max_bytes=50_000).first().path
+    sizes = [os.path.getsize(f"{path}/{n}") for n in os.listdir(path) if n.startswith("part-")]
+    assert max(sizes) <= 50_000 < sum(sizes)
+    assert ex.read_export(spark, path, ["ID", "TEXT"]).count() == 400
+    with pytest.raises(ValueError, match="single=False"):
+        ex.export_csv(uneven, str(tmp_path), "uneven", as_of="2025-10-15", max_bytes=50_000, single=True)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_short_row_is_one_to_every_reader(spark, tmp_path, multi_line):
+    lines = [",".join(MAPPING_COLS)] + [f"id{i},A,1,g,i,9" if i != 1500 else "bad,A,1,g,i" for i in range(2000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/one.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        read = lambda how: mc.read_mapping(spark, str(tmp_path / "in"), on_error=how, multi_line=multi_line)
+        assert read("continue").count() == read("continue").select("ID").count() == 1999
+        assert read("abort").count() == 2000
+        for use in (lambda d: d.count(), lambda d: d.select("ID").collect()):
+            with pytest.raises((PySparkException, Py4JJavaError)):
+                use(read("strict"))
+        report = mc.load_report(spark, str(tmp_path / "in"), multi_line=multi_line).first()
+        assert (report.row_count, report.error_count, report.first_error_column) == (2000, 1, 6)
+        # Only a task that has read the whole file knows the number.
+        assert report.first_error_record == (1501 if multi_line else None)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_folders_below_are_read_and_checked(spark, write, view, tmp_path):
+    write("in/a.csv", "a,A,1,g,i,9")
+    write("in/deep/b.csv", "b,A,1,g,i,9")
+    assert mc.read_mapping(spark, str(tmp_path / "in"), pattern=r".\.csv").count() == 2
+    root = str(tmp_path / "out")
+    ex.export_csv(view, f"{root}/deep", "mapped", header=False)
+    ex.export_csv(view.limit(1), root, "old_mapped", header=False)
+    assert qa.export_verify(spark, view, root, "mapped", header=False).first().export_status == texts.PASS_ALL_ROWS
+    assert qa.export_qa(spark, view, root, "mapped", header=False).first().export_status == texts.PASS_EXPORT
+    assert qa.export_failures(spark, view, root, "mapped", header=False).count() == 0
+    assert ex.sample_export(spark, root, 3, header=False, export_name="mapped.*").count() == 3
+
+
 def test_null_text_can_be_chosen(spark, view, tmp_path):
     path = ex.export_csv(view, str(tmp_path), "mapped", null_value="NULL", single=True).first().path
     text = "".join((p.read_text()) for p in (tmp_path / "mapped_202509").glob("part-*"))

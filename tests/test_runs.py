@@ -3,43 +3,58 @@
 from __future__ import annotations
 
 import pytest
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from test_files import write  # noqa: F401
 
 from revmap import session, texts
 from revmap.plans import monthly, views
 from revmap.plans.queries import QUERIES
-from revmap.streaming.ingest import ingest_new_files, read_ingested
+from revmap.streaming.ingest import NO_NEW_FILES, arrivals, ingest_new_files, read_ingested
 
 SF = "/root/testdata/sf0.001"
 
 
 def _ingest(spark, tmp_path, **kw):
-    ingest_new_files(
-        spark, str(tmp_path / "in"), str(tmp_path / "checkpoint"), str(tmp_path / "out"), **kw
-    ).awaitTermination()
+    return ingest_new_files(spark, str(tmp_path / "in"), str(tmp_path / "checkpoint"), str(tmp_path / "out"), **kw)
 
 
 def test_only_new_files_are_loaded(spark, write, tmp_path, rows):  # noqa: F811
     write("in/one.csv", "a,A,1,g,i,NULL")
-    _ingest(spark, tmp_path)
+    assert _ingest(spark, tmp_path).ok
     assert rows(read_ingested(spark, str(tmp_path / "out")).select("ID", "Oracle_GL_Account")) == [("a", None)]
-    _ingest(spark, tmp_path)
+    assert _ingest(spark, tmp_path).message == NO_NEW_FILES
     write("in/two.csv", "b,B,1,g,i,9")
     _ingest(spark, tmp_path)
     assert rows(read_ingested(spark, str(tmp_path / "out")).select("ID")) == [("a",), ("b",)]
     assert rows(read_ingested(spark, str(tmp_path / "out"), latest_only=True).select("ID")) == [("b",)]
 
 
-def test_a_batch_that_fails_its_gate_is_not_loaded(spark, write, tmp_path):  # noqa: F811
-    write("in/one.csv", "a,A,1,g,i,9", "a,A,1,g,i,9")
-    with pytest.raises((PySparkException, Py4JJavaError), match="Duplicate IDs"):
-        _ingest(spark, tmp_path, strict=True)
-    assert not (tmp_path / "out").exists()
-    # The same files pass a gate that only warns.
+def test_an_arrival_is_whole_whatever_a_batch_holds(spark, write, tmp_path, rows):  # noqa: F811
+    write("in/zero.csv", "z,Z,1,g,i,9")
     _ingest(spark, tmp_path)
-    assert read_ingested(spark, str(tmp_path / "out")).count() == 2
+    for name in "abc":
+        write(f"in/{name}.csv", f"{name},A,1,g,i,9")
+    _ingest(spark, tmp_path, max_files=1)
+    latest = read_ingested(spark, str(tmp_path / "out"), latest_only=True)
+    assert rows(latest.select("ID")) == [("a",), ("b",), ("c",)]
+    for name in "de":
+        write(f"in/{name}.csv", "same,A,1,g,i,9")
+    assert not _ingest(spark, tmp_path, max_files=1, strict=True).ok
+    assert read_ingested(spark, str(tmp_path / "out")).count() == 4
+
+
+def test_an_arrival_that_fails_its_gate_is_set_aside(spark, write, tmp_path, rows):  # noqa: F811
+    write("in/one.csv", "a,A,1,g,i,9", "a,A,1,g,i,9")
+    failed = _ingest(spark, tmp_path, strict=True)
+    assert not failed.ok and "Duplicate IDs" in failed.message
+    assert read_ingested(spark, str(tmp_path / "out")).count() == 0
+    assert (tmp_path / f"out-rejected/arrival={failed.number}").exists()
+    # The next arrival is not held up, nor by a file without rows.
+    write("in/empty.csv")
+    assert _ingest(spark, tmp_path).message == texts.NO_ROWS
+    write("in/two.csv", "b,B,1,g,i,9")
+    assert _ingest(spark, tmp_path, strict=True).ok
+    assert rows(read_ingested(spark, str(tmp_path / "out")).select("ID")) == [("b",)]
+    assert rows(arrivals(spark, str(tmp_path / "out")).select("ok")) == [(False,), (False,), (True,)]
 
 
 @pytest.fixture
