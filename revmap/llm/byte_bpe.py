@@ -195,13 +195,21 @@ class Codec:
             self._pieces.update(zip((p.decode() for p in part), encoded, strict=True))
             at = end
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _split(self, texts: list[str]) -> list[list[str]]:
+        """Pieces of the texts, all of them encoded."""
         if len(self._pieces) > KEPT_PIECES:
             self._pieces.clear()
         split = [self.split(t) for t in texts]
         self.learn(set(chain.from_iterable(split)))
+        return split
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        get = self._pieces.__getitem__
+        return [list(chain.from_iterable(map(get, pieces))) for pieces in self._split(texts)]
+
+    def count(self, texts: list[str]) -> list[int]:
         get = self._pieces.__getitem__
-        return [list(chain.from_iterable(map(get, pieces))) for pieces in split]
+        return [sum(map(len, map(get, pieces))) for pieces in self._split(texts)]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -271,6 +279,21 @@ def _decode(ranks: Broadcast, pattern: str, ids_col: str, names: list[str], byte
     return run
 
 
+def _count(ranks: Broadcast, pattern: str, text_col: str, names: list[str], count_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(ranks, pattern)
+        for batch in batches:
+            _, places = seq.buffers(batch.column(text_col))
+            at, counts = 0, []
+            while at < len(batch):
+                end = max(at + 1, int(np.searchsorted(places, places[at] + seq.PART_BYTES * 4, "right")) - 1)
+                counts += codec.count([t or "" for t in batch.column(text_col).slice(at, end - at).to_pylist()])
+                at = end
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(counts, pa.int64())], [*names, count_col])
+
+    return run
+
+
 class Tokenizer:
     """Encoding and decoding columns with a rank file that the driver reads."""
 
@@ -291,6 +314,10 @@ class Tokenizer:
         known = df.withColumn(ids_col, F.coalesce(ids_col, F.expr("cast(array() AS array<int>)")))
         return self._map(known, bytes_col, T.BinaryType(), lambda names: _decode(self._ranks, self._pattern, ids_col, names, bytes_col))
 
+    def count(self, df: DataFrame, *, text_col: str = "text", count_col: str = "n_tokens") -> DataFrame:
+        """Add ``count_col``, the number of ids that :meth:`encode` would give."""
+        return self._map(df, count_col, T.LongType(), lambda names: _count(self._ranks, self._pattern, text_col, names, count_col))
+
     def _map(self, df: DataFrame, added: str, kind: T.DataType, function) -> DataFrame:
         names = [c for c in df.columns if c != added]
         df = df.select(*(f"`{c}`" for c in names))

@@ -10,6 +10,7 @@ from revmap.llm import (
     quality,
     substring_dedup,
     suffix_dedup,
+    token_counts,
     toxicity,
     voronoi_topk,
 )
@@ -21,6 +22,7 @@ _MODULES = (
     toxicity,
     quality,
     voronoi_topk,
+    token_counts,
     minhash_dedup,
     suffix_dedup,
     substring_dedup,
