@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revmap import texts
 from revmap.functions.columns import yes_no, zero_if_null
 from revmap.functions.dates import as_date, month_start, prior_month
-from revmap.operators.skew import fits_broadcast, lookup_join, ordered_by
+from revmap.operators.skew import lookup_join, ordered_by
 from revmap.schemas import GL_FLAG, ID_FLAG, MAPPING_ATTRS
 
 Day = str | dt.date
@@ -73,6 +73,7 @@ def map_revenue(
     master: str = "revenue",
     flags: bool = False,
     on_duplicate: str = "allow",
+    hot: list | None = None,
 ) -> DataFrame:
     """The mapped view of one month.
 
@@ -82,14 +83,15 @@ def map_revenue(
     keeps every mapping row. ``how="inner"`` keeps matches only.
 
     An ID that repeats in the mapping repeats its revenue rows, unless
-    ``on_duplicate`` is "first" or "raise"."""
+    ``on_duplicate`` is "first" or "raise". ``hot`` names revenue IDs known to hold
+    a large share of the month; with the mapping first nothing else can split them."""
     month_rows = month_slice(r, as_of, months_back, month)
     side = _resolve_duplicates(_side(m), on_duplicate)
     if master == "mapping":
-        return _mapping_master(month_rows, side, how)
+        return _mapping_master(month_rows, side, how, hot)
     if master != "revenue":
         raise ValueError(f"master must be revenue or mapping, not {master}")
-    joined = lookup_join(month_rows, side, "id", "mapping_ID", how)
+    joined = lookup_join(month_rows, side, "id", "mapping_ID", how, hot=hot)
     if not flags:
         return joined.select(*month_rows.columns, *MAPPING_ATTRS)
     return joined.select(
@@ -100,14 +102,13 @@ def map_revenue(
     )
 
 
-def _mapping_master(month_rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+def _mapping_master(month_rows: DataFrame, side: DataFrame, how: str, hot: list | None) -> DataFrame:
     columns = ["mapping_ID", *MAPPING_ATTRS, *month_rows.columns]
-    if how == "left" and fits_broadcast(month_rows):
-        return side.join(F.broadcast(month_rows), F.col("mapping_ID") == F.col("id"), "left").select(columns)
-    # Revenue may be dominated by one ID, and an outer join cannot split the
-    # side it does not preserve. Matches and leftovers are found separately, so
-    # that in both joins the side that may be skewed is the one that is spread.
-    matched = lookup_join(month_rows, side, "id", "mapping_ID", "inner").select(columns)
+    if how == "left" and not hot:
+        return side.join(month_rows, F.col("mapping_ID") == F.col("id"), "left").select(columns)
+    # An outer join cannot split the side it does not preserve. Matches and
+    # leftovers are found separately, so that hot revenue is on the spread side.
+    matched = lookup_join(month_rows, side, "id", "mapping_ID", "inner", hot=hot).select(columns)
     if how == "inner":
         return matched
     left_over = lookup_join(side, revenue_ids(month_rows), "mapping_ID", "revenue_id", "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date, run_stamp
-from revmap.operators.skew import fits_broadcast, lookup_join
+from revmap.operators.skew import lookup_join
 
 # Dimension codes of manually entered revenue.
 DEVICE_TYPE_UNKNOWN = 4
@@ -99,13 +99,14 @@ def dropped_rows(old: DataFrame, new: DataFrame, **kw) -> DataFrame:
     )
 
 
-def account_metadata(df: DataFrame) -> DataFrame:
-    """Account metadata with its integer and code columns typed."""
+def account_metadata(df: DataFrame, code_length: int = 10) -> DataFrame:
+    """Account metadata with its integer and code columns typed. A currency code
+    longer than ``code_length`` is cut there, as in a column of that length."""
     return df.withColumns(
         {
             "bi_account_id": F.col("bi_account_id").cast("int"),
             "network_name_id": F.col("network_name_id").cast("int"),
-            "currency_code": F.substring(F.col("currency_code").cast("string"), 1, 10),
+            "currency_code": F.substring(F.col("currency_code").cast("string"), 1, code_length),
         }
         | ({"network_type_id": F.col("network_type_id").cast("int")} if "network_type_id" in df.columns else {})
     )
@@ -127,9 +128,8 @@ def effective_join(
     An account row is in force from ``effective_from`` on; ``effective_to``
     counts only with ``use_effective_to`` (NULL is open), so by default a fact
     meets every period that began before it. Accounts are few and facts pile up
-    on them: where accounts and contracts can be broadcast the facts stay where
-    they are; else the two are joined first, so that the facts are moved once,
-    and hot accounts are spread."""
+    on them: accounts and contracts are joined first, so that the facts are moved
+    once if at all, and adaptive execution broadcasts or splits the rest."""
     dim = accounts.select(
         F.col("account_id").alias("dim_account_id"),
         "product_line_id",
@@ -144,12 +144,8 @@ def effective_join(
         in_force = in_force & (F.col("effective_to").isNull() | (F.col("data_date") <= F.col("effective_to")))
     signed = contracts.select(F.col("bi_account_id").alias("contract_account_id"), "contract_id")
     closed = facts.where(F.col("data_date") <= F.date_sub(as_date(as_of), 1))
-    if fits_broadcast(dim) and fits_broadcast(signed):
-        with_account = lookup_join(closed, dim, "account_id", "dim_account_id", "inner", in_force)
-        matched = lookup_join(with_account, signed, "bi_account_id", "contract_account_id", "inner")
-    else:
-        signed_accounts = lookup_join(dim, signed, "bi_account_id", "contract_account_id", "inner")
-        matched = lookup_join(closed, signed_accounts, "account_id", "dim_account_id", "inner", in_force)
+    signed_accounts = lookup_join(dim, signed, "bi_account_id", "contract_account_id", "inner")
+    matched = lookup_join(closed, signed_accounts, "account_id", "dim_account_id", "inner", in_force)
     return matched.select(
         F.col("data_date").alias("data_ts"),
         "product_line_id",

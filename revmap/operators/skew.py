@@ -1,20 +1,13 @@
 """Joins and sorts that hold when one key carries a large share of the rows.
 
-Revenue is large and may be dominated by one ID; the side it is looked up in
-(mappings, accounts, IDs of another relation) is usually small, but nothing
-proves it. So:
-
-* a side is broadcast only when the optimiser's size estimate is within the
-  session's broadcast threshold;
-* otherwise both sides are shuffled, and the rows of *hot* keys are spread over
-  salts, while the other side's rows of those keys are repeated once per salt. A
-  hot key holds more than 1/64 of the rows, so there are fewer than 64 of them
-  whatever the data, and their list can always come to the driver. They are
-  counted first, each task combining its own rows, and the join then carries
-  them as literals, so that a task that runs again sees the same keys. Without
-  hot keys it is a plain join.
-* a key may be hot on either side. Repeating rows never makes more of them than
-  the join gives back, as a hot key has more rows than there are salts.
+A lookup is a plain join without hints. While it runs, adaptive execution turns it
+into a broadcast if a side has *measured* small, and splits the partitions of a key
+that has measured large; building a plan starts no job.
+
+Where a key is known to be hot, and is on a side that an outer join cannot split, it
+can be named: its rows are spread over salts, and the other side's rows of that key
+are repeated once per salt. :func:`hot_keys` counts them, in a stored table or one
+that is cheap to read twice.
 
 Salts depend on the row and on the partition it is read from, not on a random
 number: a task that runs again after a lost executor sends every row to the
@@ -23,8 +16,6 @@ same place. Identical rows spread too, as they are read from many partitions.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,24 +25,6 @@ HOT_SHARE = 64
 HOT_ROWS = 1_000_000
 
 
-# Nodes of a plan that may return more rows than the optimiser's estimate allows
-# for: it takes them to return as many as they read.
-_MULTIPLIES = re.compile(r"^\W*(Generate|Expand|MapIn|MapPartitions|FlatMap|ScriptTransformation)", re.MULTILINE)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` is surely no larger than the session's
-    spark.sql.autoBroadcastJoinThreshold. The optimiser starts from file sizes
-    and its estimate only grows with joins and unions, so it is an upper bound
-    for the data as stored, unless the plan explodes rows: then nothing is
-    known. Nor is it in a remote session, which does not tell its estimates."""
-    if not hasattr(df, "_jdf"):
-        return False
-    plan = df._jdf.queryExecution().optimizedPlan()
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return plan.stats().sizeInBytes() <= limit and not _MULTIPLIES.search(plan.toString())
-
-
 def salt_count(df: DataFrame) -> int:
     """Several salts per shuffle partition, so that their hashes even out."""
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -71,12 +44,24 @@ def hot_keys(df: DataFrame, key: str) -> list:
 
 
 def lookup_join(
-    big: DataFrame, side: DataFrame, big_key: str, side_key: str, how: str = "left", where: Column | None = None
+    big: DataFrame,
+    side: DataFrame,
+    big_key: str,
+    side_key: str,
+    how: str = "left",
+    where: Column | None = None,
+    *,
+    hot: list | None = None,
+    hot_side: list | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``side`` on ``big_key = side_key`` (and ``where``, for a
     range condition). ``how`` is left, inner, left_semi or left_anti: the rows
     of ``big`` are never repeated except by their matches. The two frames must
-    not share a column name."""
+    not share a column name.
+
+    ``hot`` names keys of ``big`` to spread (None stands for NULL), and ``hot_side``
+    keys that crowd ``side``, in an inner join or a left one without ``where``; the
+    latter must occur in ``side``. The result is the same without them."""
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"not a lookup join: {how}")
     condition = F.col(big_key) == F.col(side_key)
@@ -85,14 +70,9 @@ def lookup_join(
     side = side.where(F.col(side_key).isNotNull())
     if how in ("left_semi", "left_anti") and where is None:
         side = side.select(side_key).distinct()
-    if fits_broadcast(side):
-        return big.join(F.broadcast(side), condition, how)
-
-    hot = hot_keys(big, big_key)
-    crowded = []
-    if how == "inner" or (how == "left" and where is None):
-        crowded = [k for k in hot_keys(side, side_key) if k not in hot]
-    if not crowded:
+    hot = hot or []
+    crowded = [k for k in hot_side or [] if k not in hot]
+    if not crowded or not (how == "inner" or (how == "left" and where is None)):
         return _spread_join(big, side, big_key, side_key, hot, condition, how)
     # A crowded key has matches for certain, so its rows of big need no outer
     # join, and an inner join may spread the side.

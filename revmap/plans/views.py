@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date
 from revmap.operators.rebuild import label_accounts
-from revmap.operators.skew import fits_broadcast
 from revmap.schemas import MAPPING_COLS, MEASURES, REVENUE_COLS
 
 SCHEMAS = {
@@ -118,8 +117,9 @@ def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.
         F.expr("sum(price * tax) AS taxed"),
     ]
     same_order = F.col("o_orderkey") == F.col("l_orderkey")
-    if (lo is not None or hi is not None) and fits_broadcast(orders):
-        monthly = lines.join(F.broadcast(orders), same_order).groupBy("o_custkey", "data_month").agg(*sums)
+    if lo is not None or hi is not None:
+        # Few orders: lines are looked up in them and not summed first.
+        monthly = lines.join(orders, same_order).groupBy("o_custkey", "data_month").agg(*sums)
     else:
         per_order = lines.groupBy("l_orderkey").agg(*sums)
         totals = [F.sum(c).alias(c) for c in per_order.columns if c != "l_orderkey"]
@@ -130,8 +130,6 @@ def revenue(spark: SparkSession, sf_dir: str, lo: dt.date | None = None, hi: dt.
     who = customers.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    if fits_broadcast(customers):
-        who = F.broadcast(who)
     named = monthly.join(who, F.col("o_custkey") == F.col("c_custkey"))
     return named.selectExpr(*[f"{_REVENUE[c]} AS {c}" for c in REVENUE_COLS])
 

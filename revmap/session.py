@@ -18,6 +18,8 @@ def build_session(name: str = "revmap", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # A large key is split even where the plan above then needs one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.showConsoleProgress": "false",
         # A stack trace for every column is costly in wide projections.
         "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revmap.operators import skew
+from revmap.plans.queries import QUERIES
 
 HOWS = ["left", "inner", "left_semi", "left_anti"]
 
@@ -52,7 +53,7 @@ def test_hot_keys_are_few(frames, no_broadcast):
 @pytest.mark.parametrize("how", HOWS)
 def test_salted_join_equals_plain_join(frames, no_broadcast, how):
     big, side = frames
-    got = skew.lookup_join(big, side, "k", "s", how)
+    got = skew.lookup_join(big, side, "k", "s", how, hot=["hot", None])
     assert "salt" in got._jdf.queryExecution().analyzed().toString()
     assert _count(got) == _count(big.join(side, F.col("k") == F.col("s"), how))
 
@@ -61,27 +62,27 @@ def test_salted_join_equals_plain_join(frames, no_broadcast, how):
 def test_key_hot_on_the_side_only(spark, no_broadcast, how):
     big = spark.sql("SELECT 'crowd' AS k, 1 AS v UNION ALL SELECT 'none', 2 UNION ALL SELECT NULL, 3 UNION ALL SELECT 'one', 4")
     side = spark.range(600).selectExpr("CASE WHEN id < 500 THEN 'crowd' WHEN id = 500 THEN 'one' ELSE concat('s', id) END AS s", "id AS w")
-    got = skew.lookup_join(big, side, "k", "s", how)
+    got = skew.lookup_join(big, side, "k", "s", how, hot_side=["crowd"])
     if how in ("left", "inner"):
         assert "salt" in got._jdf.queryExecution().analyzed().toString()
     assert _count(got) == _count(big.join(side, F.col("k") == F.col("s"), how))
 
 
 @pytest.mark.parametrize("how", HOWS)
-def test_broadcast_join_equals_plain_join(frames, how):
+def test_lookup_join_equals_plain_join(frames, how):
     big, side = frames
     assert _count(skew.lookup_join(big, side, "k", "s", how)) == _count(big.join(side, F.col("k") == F.col("s"), how))
 
 
 def test_range_condition(frames, no_broadcast):
     big, side = frames
-    got = skew.lookup_join(big, side, "k", "s", "inner", F.col("v") > F.col("w"))
+    got = skew.lookup_join(big, side, "k", "s", "inner", F.col("v") > F.col("w"), hot=["hot"])
     assert _count(got) == _count(big.join(side, (F.col("k") == F.col("s")) & (F.col("v") > F.col("w")), "inner"))
 
 
 def test_hot_rows_reach_many_tasks(frames, no_broadcast, no_coalesce):
     big, side = frames
-    got = skew.lookup_join(big.repartition(8), side, "k", "s", "left").where("k = 'hot'")
+    got = skew.lookup_join(big.repartition(8), side, "k", "s", "left", hot=["hot"]).where("k = 'hot'")
     assert got.select(F.spark_partition_id()).distinct().count() > 4
 
 
@@ -92,11 +93,32 @@ def test_no_hot_key_is_a_plain_join(spark, no_broadcast):
     assert got.count() == 10
 
 
-def test_small_side_is_broadcast_and_large_is_not(spark, frames):
-    assert skew.fits_broadcast(frames[1])
-    assert not skew.fits_broadcast(spark.range(100_000_000))
-    # Small before it is exploded; nobody knows how large after.
-    assert not skew.fits_broadcast(spark.range(2).selectExpr("explode(sequence(0, id * 1000000)) AS s"))
+def test_adaptive_execution_splits_a_hot_key(spark, frames, no_broadcast):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        big = spark.range(200_000).selectExpr("IF(id < 100000, 'hot', concat('k', id)) AS k", "id AS v").repartition(8)
+        got = skew.lookup_join(big, frames[1], "k", "s", "left")
+        got.write.format("noop").mode("overwrite").save()
+        rows = got.count()
+        got.collect()
+        assert rows == 300_000 and "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name", ["mapped_view", "mapping_master_view", "unused_mappings", "merged_report", "manual_revenue"])
+def test_building_a_plan_starts_no_job(spark, name):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"plan-{name}", "building")
+    try:
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert sc.statusTracker().getJobIdsForGroup(f"plan-{name}") in ([], ())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert df.count() >= 0
 
 
 def test_other_joins_are_refused(frames):
