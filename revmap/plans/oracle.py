@@ -242,7 +242,7 @@ def _pct(part: str, whole: str) -> str:
     return f"round({part} * 100.0 / nullif({whole}, 0), 2)"
 
 
-_BAND = "CASE WHEN rs.y * 100 >= rs.t * 95 THEN 'PASS' WHEN rs.y * 100 >= rs.t * 80 THEN 'WARNING' ELSE 'FAIL' END"
+_BAND = "CASE WHEN rs.t = 0 THEN 'FAIL' WHEN rs.y * 100 >= rs.t * 95 THEN 'PASS' WHEN rs.y * 100 >= rs.t * 80 THEN 'WARNING' ELSE 'FAIL' END"
 _RS = f"""rs.t AS total_revenue_records, rs.y AS mapped_revenue_records, rs.n AS unmapped_revenue_records,
        {_pct("rs.y", "rs.t")} AS revenue_coverage_rate_pct"""
 _COVERAGE = (
@@ -379,7 +379,7 @@ ORACLE["recon_diff_join"] = ORACLE["recon_diff"]
 ORACLE["recon_diff_range"] = (
     _compare("dev", "prod", "data_month > DATE '1997-01-01' AND data_month < DATE '1997-06-01'") + _DIFFERENT
 )
-ORACLE["recon_diff_identity"] = _compare("prod", "prod") + _DIFFERENT
+ORACLE["recon_diff_identity"] = _compare("rev", "rev") + _DIFFERENT
 ORACLE["recon_counts"] = _compare("dev", "prod") + """
 SELECT count(*) AS keys_compared, count(*) FILTER (NOT prod_records_present) AS dev_only,
        count(*) FILTER (NOT dev_records_present) AS prod_only,

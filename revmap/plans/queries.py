@@ -246,7 +246,7 @@ def recon_diff_range(spark, sf):
 
 @query
 def recon_diff_identity(spark, sf):
-    return recon.diff(v.prod(spark, sf), v.prod(spark, sf))
+    return recon.diff(v.revenue(spark, sf), v.revenue(spark, sf))
 
 
 @query
