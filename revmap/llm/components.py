@@ -24,8 +24,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return own.union(others).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one link to a smaller node at most, and then none to a larger."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,16 +37,13 @@ def components(links: DataFrame) -> DataFrame:
 
     Only nodes with a link to a smaller node are returned; any other node is its
     own component. A node's neighbours are never gathered: groups are reduced by
-    ``min``, stored, and joined back in a join that Spark may split on skew. Each round is written to shared storage, and the
-    number of rounds grows with the logarithm of the longest chain.
+    ``min``, stored, and joined back in a join that Spark may split on skew. Each round
+    is written to shared storage, and the number of rounds grows with the
+    logarithm of the longest chain.
     """
     edges = stored(
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
-    before = _state(edges)
-    while True:
+    while not _are_stars(edges):
         edges = stored(_small_star(stored(_large_star(edges), "large-stars")), "stars")
-        after = _state(edges)
-        if after == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = after
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

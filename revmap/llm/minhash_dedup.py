@@ -3,8 +3,8 @@
 Documents with equal shingle sets are one class from the start. Each class has
 ``bands * rows`` minima of universal hashes; classes that agree in all minima of
 a band share a bucket. Inside a bucket not all pairs are formed: members are
-first compared with one leader, then with another, by the whole signature and
-then by the full shingle sets. What is still apart though buckets connect it is
+first compared with two leaders, by the whole signature and then by the full
+shingle sets. What is still apart though buckets connect it is
 compared in blocks, full sets again, by matrix products.
 
 A link at the threshold of 0.75 is missed with probability
@@ -183,18 +183,11 @@ def near_duplicates(
     sketches = stored(reps.select("id", "size", "sketch").join(taking_part, "id", "left_semi"), "sketches")
     compare = _Comparison(texts, sketches, id_type, shingle, threshold, bands * rows)
 
-    links = compare(members.where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b")))
-    found = components(links)
-    # Another leader for those that the first left apart, then all that are still apart.
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left")
-    placed = stored(placed.withColumn("component", F.coalesce("component", "id")), "placed")
-    leader = stored(placed.where("id = hi").select("bucket", F.col("component").alias("led")), "leaders")
-    led = placed.join(leader, "bucket").where("component != led").select(F.col("id").alias("a"), F.col("hi").alias("b"))
-    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    links = compare(led)
-    found = components(links.union(stars))
-    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = components(_rest(members, found, texts, id_type, shingle, threshold).union(stars))
+    leaders = F.explode(F.array("lo", "hi")).alias("b")
+    found = components(compare(members.select(F.col("id").alias("a"), leaders).where("a != b")))
+    rest = _rest(members, found, texts, id_type, shingle, threshold)
+    if not rest.isEmpty():
+        found = components(rest.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     result = signed.select("id", "size", "one", "two").join(classes, ["one", "two", "size"], "left")
     result = result.join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -210,29 +203,25 @@ def near_duplicates(
 def _rest(members: DataFrame, found: DataFrame, texts: DataFrame, id_type: str, shingle: int, threshold: int) -> DataFrame:
     """Links between documents that buckets connect but that are in different components so far.
 
-    Documents that buckets connect, directly or over others, are a cluster. Of
+    Components that buckets connect, directly or over others, are a cluster. Of
     clusters with several components, all documents are compared by matrix products
     of their full sets. Only sizes within the threshold can match, so a document
     meets its own class of sizes and the classes next to it, in blocks: each task
     has two blocks, and a document is sent to as many tasks as there are blocks.
     """
-    star = members.where("id != lo").select(F.col("id").alias("a"), F.col("lo").alias("b"))
-    cluster = components(star)
-    everyone = members.select("id", "size").distinct()
-    placed = (
-        everyone.join(cluster.withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "id", "left")
-        .join(found.withColumnRenamed("node", "id"), "id", "left")
-        .select(
-            "id",
-            F.coalesce("cluster", "id").alias("cluster"),
-            F.coalesce("component", "id").alias("component"),
-            F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / threshold))).cast("int").alias("class"),
-            "size",
-        )
+    placed = members.select("bucket", "id", "size").join(found.withColumnRenamed("node", "id"), "id", "left")
+    placed = stored(placed.withColumn("component", F.coalesce("component", "id")), "placed")
+    least = stored(
+        placed.groupBy("bucket").agg(F.min("component").alias("b"), F.max("component").alias("most")).where("b < most"), "least"
     )
-    placed = stored(placed, "placed")
-    several = placed.groupBy("cluster").agg((F.min("component") != F.max("component")).alias("apart")).where("apart")
-    placed = stored(placed.join(stored(several.select("cluster"), "several"), "cluster"), "apart")
+    connected = placed.join(least, "bucket").select(F.col("component").alias("a"), "b")
+    cluster = components(connected)
+    # Every component of a cluster, the least one too.
+    apart = cluster.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    apart = stored(apart.union(apart.select("cluster", "cluster").distinct()), "clusters")
+    size_class = F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / threshold))).cast("int")
+    everyone = placed.groupBy("id").agg(F.max("size").alias("size"), F.min("component").alias("component"))
+    placed = stored(everyone.join(apart, "component").withColumn("class", size_class), "apart")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("size") / BLOCK_SHINGLES)).cast("int")
     sizes = placed.groupBy("cluster", "class").agg(blocks.alias("blocks"))
     near = lambda step, name: sizes.select("cluster", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
