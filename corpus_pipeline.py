@@ -17,7 +17,7 @@ from revmap.llm.byte_bpe import VOCABULARY, Tokenizer
 from revmap.llm.decontamination import contamination
 from revmap.llm.minhash_dedup import near_duplicates
 from revmap.llm.sample import held_out
-from revmap.llm.store import documents, stored
+from revmap.llm.store import documents, stored, table
 from revmap.llm.substring_dedup import remove_repeats
 from revmap.llm.toxicity import THRESHOLD, ToxicityModel
 
@@ -25,7 +25,7 @@ from revmap.llm.toxicity import THRESHOLD, ToxicityModel
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the labels learnt from are those
     of ``op4_toxicity``. Null and empty texts are scored like any other."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = table(spark, sf_dir, "labels")
     model = ToxicityModel.fit(docs, labels, held_out(F.col("key"), 4, 2))
     return model.score(docs, score_col="_score").where(F.col("_score") < THRESHOLD).select(*docs.columns)
 
@@ -50,7 +50,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages are less than a twentieth of the words."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where("NOT contaminated").select(*docs.columns)
 
 

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from revmap.session import scratch_dir
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers of a local session find this package wherever the session was started.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
