@@ -32,8 +32,9 @@ from revmap.llm.store import documents, stored
 SAMPLE_ROWS = 12_000
 #: Entries of the lexicon at most.
 LEXICON = 4_096
-#: A lexicon entry is in so many documents of label 1 at least, and so much more frequent there (log).
-LEAST_DOCS, LEAST_WEIGHT = 6, 2.0
+#: A lexicon entry is in this share of the documents of label 1 and in so many of
+#: them at least, and so much more frequent there (log).
+LEAST_SHARE, LEAST_DOCS, LEAST_WEIGHT = 0.01, 3, 2.0
 THRESHOLD = 0.3
 #: Word beginnings of these lengths are features besides whole words.
 BEGINNINGS = (4, 5, 6)
@@ -263,7 +264,7 @@ class ToxicityModel:
         top = (
             words.groupBy("feature")
             .agg(F.sum("label").alias("in1"), F.sum(1 - F.col("label")).alias("in0"))
-            .where(F.col("in1") >= LEAST_DOCS)
+            .where(F.col("in1") >= max(LEAST_DOCS, LEAST_SHARE * n1))
             .select("feature", weight.alias("weight"), "in1")
             .where(F.col("weight") >= LEAST_WEIGHT)
             .orderBy(F.desc(F.col("weight") * F.log1p("in1")), "feature")
