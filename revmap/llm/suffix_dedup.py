@@ -34,7 +34,7 @@ from revmap.llm.substring_dedup import merge_spans
 
 WINDOW, ANCHOR = 100, 20
 #: Runs in a group of anchors, about; an anchor in more rows than HOT is dealt to several groups.
-GROUP_RUNS, HOT = 2_000, 1_000
+GROUP_RUNS, HOT = 8_000, 1_000
 
 _RUN = "within boolean, route bigint, known boolean, anchor bigint, path bigint, start int, n int"
 
