@@ -17,7 +17,7 @@ from revmap.llm.decontamination import contamination, original_spans, without_pa
 from revmap.llm.quality import Network, QualityModel, train
 from revmap.llm.sample import held_out
 from revmap.llm.token_counts import cut_total, length_histogram, op7_token_counts, quantile_limit, suffix_sums
-from revmap.llm.toxicity import Restorer, ToxicityModel, character_model, logistic_regression
+from revmap.llm.toxicity import Lexicon, Restorer, ToxicityModel, character_model, logistic_regression
 
 PATH = public_tokenizers.path(VOCABULARY)
 SF = "/root/testdata/sf0.001"
@@ -121,6 +121,34 @@ def test_disguised_words_are_read(spark):
         assert read(plain) == plain
 
 
+@pytest.mark.parametrize("hidden", ["a s s", "a,s,s", "i/d/i/o/t", "i,d,i,o,t", "i - d - i - o - t", "i  d  i  o  t", "id iot", "id-i.ot", "iddiiott", "1dd1ioott", "st upp1d", "@$$", "i!d!i!o!t", "i\u200bd\u200bi\u200bo\u200bt", "id\u00a0iot"])
+def test_hidden_words_of_the_lexicon_are_read(spark, hidden):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([("you idiot and loser are so stupid the moron is an ass and of hers a hello that was " * 50,)], "text string")
+    restorer = Restorer(character_model(docs), Lexicon({b"idiot": 3.0, b"ass": 3.0, b"stup*": 3.0}))
+    for text in (hidden, f"so {hidden}", f"that {hidden} was", f"hello ({hidden.upper()})!"):
+        # Between texts that begin and end with letters.
+        (_, read, _) = restorer.batch(pa.array(["was", text, "was"]))
+        assert {b"idiot", b"ass", b"stupid"} & set(read.replace(b"!", b" ").replace(b")", b" ").replace(b"(", b" ").split()), read
+        assert restorer.restore(text.encode()) == read
+    for plain in ("as so hers", "that was a", "455", "4 5 5", "hello as", "assume", "an idea"):
+        assert list(restorer.batch(pa.array([plain]))) == [plain.encode()]
+
+
+def test_a_word_in_few_documents_of_many_is_learnt(spark):
+    rng = random.Random(9)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
+    rows = []
+    for i in range(8000):
+        # The rare word is in less than a hundredth of the documents of label 1.
+        words = rng.choices(common, k=12) + ([] if i % 5 else ["vermin"] if i < 60 else ["idiot"])
+        rows.append((i, " ".join(words), int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = ToxicityModel.fit(docs, docs, F.lit(False))
+    assert b"vermin" in model.lexicon.entries() and not set(map(str.encode, common)) & set(model.lexicon.entries())
+
+
 def test_toxicity_on_rows_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = ToxicityModel.fit(docs, labels, held_out(F.col("key"), 4, 2))
