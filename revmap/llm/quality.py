@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmap.llm import sequences as seq
-from revmap.llm.sample import held_out, labelled_sample
+from revmap.llm.sample import clean_labels, held_out, labelled_sample
 from revmap.llm.store import documents, stored
 
 #: Labelled documents that are learnt from, about; half of each label where there are enough.
@@ -183,8 +183,8 @@ class QualityModel:
             only = Network.fresh()
             only.p["weight"][:] = 0
             return cls(only.dump(), 30.0 if 1 in taken else -30.0)
-        known = labels.where(F.col("quality").isin(0, 1)).groupBy("quality").count().collect()
-        there = {int(r["quality"]): r["count"] for r in known}
+        known = clean_labels(labels, "quality", excluded).groupBy("label").count().collect()
+        there = {r["label"]: r["count"] for r in known}
         shift = float(np.log(there[1] / there[0]) - np.log(taken[1] / taken[0]))
         network = sample.repartition(1).sortWithinPartitions("key").mapInArrow(_trained, "network binary").first()
         return cls(bytes(network.network), shift)

@@ -11,6 +11,20 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % modulus == remainder, F.lit(False))
 
 
+def clean_labels(labels: DataFrame, label: str, excluded: Column) -> DataFrame:
+    """(key, label) to learn from: without null ids, labels other than 0 and 1, ids
+    with contradicting labels, and rows for which ``excluded`` holds."""
+    return (
+        labels.select(F.col("doc_id").alias("key"), F.col(label).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.min("label").alias("label"), F.max("label").alias("other"))
+        .where("label = other")
+        .drop("other")
+        .where(~excluded)
+    )
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, excluded: Column, rows: int, balance: bool = False) -> DataFrame:
     """(key, label, text) of about ``rows`` labelled documents, not over twice as many.
 
@@ -20,15 +34,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, excluded: Co
     labels other than 0 and 1, and ids with contradicting labels are left out.
     The chosen labels are at most ``2 * rows`` small rows and are broadcast.
     """
-    clean = (
-        labels.select(F.col("doc_id").alias("key"), F.col(label).cast("int").alias("label"))
-        .where(F.col("label").isin(0, 1) & F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(F.min("label").alias("label"), F.max("label").alias("other"))
-        .where("label = other")
-        .drop("other")
-        .where(~excluded)
-    )
+    clean = clean_labels(labels, label, excluded)
     counts = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
     draw = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) / 1_000_003.0
     total = sum(counts.values())

@@ -166,6 +166,22 @@ def test_scores_of_odd_rows(odd, spark):
         assert model.score(odd.limit(0)).count() == 0
 
 
+def test_quality_learns_nothing_from_held_out_labels(spark, make, prose):
+    docs = make(*(prose(20, k) for k in range(60)))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("quality"))
+    contradicting = labels.unionByName(labels.where("doc_id < 20 AND quality = 1").withColumn("quality", F.lit(0)))
+    out = held_out(F.col("doc_id"), 5, 0)
+    one = QualityModel.fit(docs, labels, held_out(F.col("key"), 5, 0))
+    # Other labels of rows held out, and other numbers of them.
+    for other in (labels.withColumn("quality", F.when(out, F.lit(1)).otherwise(F.col("quality"))), labels.where(~out)):
+        two = QualityModel.fit(docs, other, held_out(F.col("key"), 5, 0))
+        assert (two.shift, two.parameters) == (one.shift, one.parameters)
+    # Ids with contradicting labels are in neither count.
+    clean = labels.join(contradicting.groupBy("doc_id").count().where("count = 1"), "doc_id", "left_semi")
+    a, b = (QualityModel.fit(docs, x, F.lit(False)) for x in (contradicting, clean))
+    assert (a.shift, a.parameters) == (b.shift, b.parameters)
+
+
 def test_logistic_regression():
     x = np.linspace(-2, 2, 200)[:, None]
     w = logistic_regression(x, (x[:, 0] > 0.5).astype(float))
