@@ -90,6 +90,26 @@ def test_top_k_of_odd_vectors(spark):
         top_k(spark.createDataFrame([(0, [2**21])], "vec_id bigint, v array<bigint>"), F.lit(True))
 
 
+@pytest.mark.parametrize("size", [2**21, 2**27, 2**29])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(6)
+    rows = [(i, [int(x) for x in rng.integers(-9, 10, 6)]) for i in range(120)]
+    # Scores of these differ by less than float64 can tell at 2^58.
+    rows += [(i, [size + int(x) for x in rng.integers(-2, 3, 6)]) for i in range(120, 200)]
+    got = top_k(spark.createDataFrame(rows, "vec_id bigint, v array<bigint>"), F.col("vec_id") % 10 == 0, k=5, largest=None).collect()
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    for q, v in rows[::10]:
+        wanted = sorted((-dot(v, w), j) for j, w in rows if j != q)[:5]
+        assert sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == q) == [(n, *x) for n, x in enumerate(wanted, 1)]
+
+
+def test_query_answers_a_vector_with_a_large_component(spark, tmp_path):
+    rows = [(i, [float(i), 1.0]) for i in range(40)] + [(40, [40000.0, 1.0])]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = voronoi_topk.op6_voronoi_topk(spark, str(tmp_path)).where("rank = 1").collect()
+    assert {r.query_id: r.vec_id for r in got} == {0: 1, 20: 40, 40: 39}
+
+
 def test_pipeline(spark):
     """Each stage's effect on the stage's own input, by the operators' oracles or brute force."""
     sf = "/root/testdata/sf0.01"
