@@ -1,10 +1,10 @@
-"""Repeated byte strings, by longest-previous-factor arrays over partitioned suffixes.
+"""Repeated byte strings, by fingerprint groups of partitioned suffixes.
 
-In suffix order, the longest earlier match of a suffix stands next to it: at the
-previous or the next suffix with a smaller position (smaller document, or earlier
-in the same). A string of ``window`` bytes is a later copy if that match is as long
-as the window, and only this depth of the order matters. No single suffix array is
-built; the suffixes are dealt out so that suffixes which share ``window`` bytes meet:
+A string of ``window`` bytes is a later copy if its longest previous factor is as
+long as the window. Only that is asked, so no suffix order and no match lengths are
+made: suffixes are grouped by a 64-bit hash of their first ``window`` bytes, and all
+but the first of a group are copies. Equal hashes are taken for equal bytes and not
+verified. The suffixes are dealt out so that those which share ``window`` bytes meet:
 
 1. Each suffix belongs to the anchor of its first ``window`` bytes, their least
    k-gram by hash. Neighbours with one anchor form a run, one row, cut by content
@@ -12,8 +12,8 @@ built; the suffixes are dealt out so that suffixes which share ``window`` bytes
 2. Of equal runs, which copied text consists of, all but those in the smallest
    document are later copies at once. Copies within a document are found there.
 3. For anchors with several different runs, one copy of each goes with its bytes to
-   a group of anchors, where the suffixes are put in order down to ``window`` bytes
-   and the longest previous factors are read off. Suffixes of anchors with very
+   a group of anchors, where the suffixes are grouped by their fingerprints and
+   all but the first of each are later copies. Suffixes of anchors with very
    many runs are dealt out one by one instead, by their first ``window`` bytes.
 """
 
@@ -129,13 +129,10 @@ def _opened(window: int):
 
 
 def longest_previous_factors(prefix: np.ndarray, position: np.ndarray, depth: int) -> np.ndarray:
-    """Longest match, up to ``depth``, of each suffix with one at a smaller position.
+    """``depth`` for each suffix that shares ``depth`` symbols with one at a smaller position, else 0.
 
-    ``prefix`` is equal for suffixes that share ``depth`` symbols. In suffix order
-    such suffixes are neighbours; here they are ordered by position among each
-    other, so the previous smaller position is the last entry before with a smaller
-    one and the next smaller position lies outside their stretch, with a shorter
-    match. A match below the depth is given as 0.
+    ``prefix`` is the fingerprint of these symbols. Entries are sorted by it and by
+    position; there is no suffix order, and no match below the depth is measured.
     """
     order = np.lexsort((position, prefix))
     p, at = prefix[order], position[order]
