@@ -23,12 +23,12 @@ from revmap.llm.sample import clean_labels, held_out, labelled_sample
 from revmap.llm.store import documents, stored
 
 #: Labelled documents that are learnt from, about; half of each label where there are enough.
-SAMPLE_ROWS = 2_400
+SAMPLE_ROWS = 6_000
 THRESHOLD = 0.3
 FILTERS, WIDTH, DEPTH, STRIDE = 16, 8, 4, 2
 #: Bytes of a block; chunks have CHUNK blocks and start HOP blocks apart.
 BLOCK, CHUNK, HOP = 64, 4, 3
-EPOCHS, DOCS_A_STEP, RATE = 6, 16, 0.01
+EPOCHS, DOCS_A_STEP, RATE = 8, 16, 0.01
 
 
 class Network:

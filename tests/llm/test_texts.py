@@ -182,6 +182,16 @@ def test_quality_learns_nothing_from_held_out_labels(spark, make, prose):
     assert (a.shift, a.parameters) == (b.shift, b.parameters)
 
 
+def test_samples_are_as_large_as_documented():
+    from pathlib import Path
+
+    from revmap.llm import quality, toxicity
+
+    text = " ".join((Path(__file__).parents[2] / "README.md").read_text().split())
+    assert f"(`SAMPLE_ROWS`, about {toxicity.SAMPLE_ROWS:,} and {quality.SAMPLE_ROWS:,})" in text
+    assert f"from {quality.SAMPLE_ROWS:,} documents in {quality.EPOCHS} rounds" in text
+
+
 def test_logistic_regression():
     x = np.linspace(-2, 2, 200)[:, None]
     w = logistic_regression(x, (x[:, 0] > 0.5).astype(float))
