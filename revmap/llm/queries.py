@@ -11,6 +11,7 @@ from revmap.llm import (
     substring_dedup,
     suffix_dedup,
     token_counts,
+    token_files,
     toxicity,
     voronoi_topk,
 )
@@ -26,6 +27,7 @@ _MODULES = (
     minhash_dedup,
     suffix_dedup,
     substring_dedup,
+    token_files,
 )
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
