@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from revmap.llm import (
     byte_bpe,
+    code_compression,
+    collocations,
     decontamination,
     kd_sharding,
     minhash_dedup,
@@ -27,7 +29,9 @@ _MODULES = (
     minhash_dedup,
     suffix_dedup,
     substring_dedup,
+    collocations,
     token_files,
+    code_compression,
 )
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
