@@ -6,9 +6,9 @@ bitmap beside each level says which of its ids go on, and a directory holds the
 number of such ids before each block of the bitmap. The place of an id's next chunk
 is then one rank query, so any token is read without decoding what lies before it.
 
-A text is encoded in units. They end where white space follows something else, a stop
-follows a letter, or something else follows a line break: the pre-tokeniser of a
-byte-level vocabulary never joins the two sides. Each distinct unit of a block goes
+A text is encoded in units. They end where white space follows something else, where a
+stop follows a letter, and after a single line break: the pre-tokeniser of a byte-level
+vocabulary never joins the two sides. Each distinct unit of a block goes
 through the tokenizers library once.
 """
 
@@ -26,7 +26,6 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from revmap.llm import sequences as seq
@@ -79,9 +78,9 @@ class UnitEncoder:
         for token, number in tokens.items():
             self._bytes_of[number] = len(token)  # a byte is one character of a token
 
-    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        read = [t.decode("utf-8", "replace") for t in texts]
-        return [np.array(e.ids, np.int32) for e in self._library.encode_batch_fast(read, add_special_tokens=False)]
+    def _encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        for text in texts:  # one by one: what the library keeps for a token is far larger than its id
+            yield np.array(self._library.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, np.int32)
 
     def _encode_units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of some units, and where each unit's ids start and end.
@@ -166,7 +165,11 @@ def _units(data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
         solid = _ENDS[before]
         # Letters of two bytes from U+00C0 on end in any byte.
         solid[1:] |= (before[1:] >= 0x80) & (before[:-1] == 0xC3)
-        mark[1:-1] = (solid & seq.IS_SPACE[after]) | (_LETTER[before] & _MARK[after]) | ((before == 0x0A) & _STARTS[after])
+        # A line break is a unit if it is all the white space there is.
+        broken = (before == 0x0A) & _STARTS[after]
+        broken[1:] &= solid[:-1]
+        broken[:1] = False
+        mark[1:-1] = (solid & seq.IS_SPACE[after]) | (_LETTER[before] & _MARK[after]) | broken
         mark[places[(places > at) & (places < end)] - at] = True
         if end < n:
             cuts = np.flatnonzero(mark)
@@ -314,30 +317,30 @@ def _put(folder: str, name: str, data: bytes) -> None:
     store.move(unfinished, f"{path}/{name}")
 
 
-_ENCODED = T.StructType(
-    [T.StructField("id", T.StringType()), T.StructField("n_tokens", T.LongType()), T.StructField("crc", T.LongType()), T.StructField("ids", T.BinaryType())]
-)
+_ENCODED = "id string, n_tokens bigint, crc bigint, ids binary"
 _FILES = "task int, file string, n_tokens bigint, n_docs bigint"
 _READ = "file string, id string, at bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def _encoder(vocabulary: Broadcast, end_id: int | None):
+def _encoder(vocabulary: Broadcast, end_id: int | None, stored_as: str):
     def run(batches):
         encoder = UnitEncoder(vocabulary.value)
         tail = np.array([] if end_id is None else [end_id], "<u4")
         for batch in batches:
             ids, starts = encoder.encode(*seq.buffers(batch.column(1)))
-            rows = [np.concatenate([ids[a:b].astype("<u4"), tail]).tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            size = [len(r) // 4 for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array([zlib.crc32(r) for r in rows], pa.int64()), pa.array(rows, pa.binary())],
-                ["id", "n_tokens", "crc", "ids"],
-            )
+            size, crc, rows = [], [], []
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                row = np.concatenate([ids[a:b].astype("<u4"), tail])
+                size.append(len(row))
+                crc.append(zlib.crc32(row))
+                rows.append(row.astype(stored_as).tobytes())
+            columns = [batch.column(0), pa.array(size, pa.int64()), pa.array(crc, pa.int64()), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "crc", "ids"])
 
     return run
 
 
-def _writer(folder: str):
+def _writer(folder: str, stored_as: str):
     def run(batches):
         task = TaskContext.get().partitionId()
         files, ids, tokens, ends = 0, [], [], []
@@ -352,7 +355,7 @@ def _writer(folder: str):
         for batch in batches:
             for doc_id, row in zip(batch.column("id").to_pylist(), batch.column("ids"), strict=True):
                 ids.append(doc_id)
-                tokens.append(np.frombuffer(row.as_buffer(), "<u4"))
+                tokens.append(np.frombuffer(row.as_buffer(), stored_as))
                 ends.append((ends[-1] if ends else 0) + len(tokens[-1]))
                 if ends[-1] >= FILE_TOKENS:
                     yield close()
@@ -409,15 +412,18 @@ def write_token_files(
         vocabulary = file.read(MAX_VOCABULARY_BYTES + 1)
     if len(vocabulary) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{vocabulary_path} is larger than {MAX_VOCABULARY_BYTES} bytes")
-    if json.loads(vocabulary).get("normalizer") or json.loads(vocabulary)["pre_tokenizer"].get("type") != "ByteLevel":
+    read = json.loads(vocabulary)
+    if read.get("normalizer") or read["pre_tokenizer"].get("type") != "ByteLevel" or read["pre_tokenizer"].get("add_prefix_space"):
         raise ValueError(f"{vocabulary_path} is no byte-level vocabulary")
+    largest = max([*read["model"]["vocab"].values(), *(t["id"] for t in read["added_tokens"]), end_id or 0])
+    stored_as = "<u2" if largest < 1 << 16 else "<u4"
     text = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    coded = text.mapInArrow(_encoder(spark.sparkContext.broadcast(vocabulary), end_id), _ENCODED)
+    coded = text.mapInArrow(_encoder(spark.sparkContext.broadcast(vocabulary), end_id, stored_as), _ENCODED)
     coded = stored(coded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
     tasks = -(-(coded.agg(F.sum("n_tokens")).first()[0] or 0) // TASK_TOKENS)
     order = (F.col("id").cast(docs.schema[id_col].dataType), "crc", "row")
     rows = coded.repartitionByRange(max(1, tasks), *order).sortWithinPartitions(*order).select("id", "ids")
-    files = stored(rows.mapInArrow(_writer(folder), _FILES), "token-manifest")
+    files = stored(rows.mapInArrow(_writer(folder, stored_as), _FILES), "token-manifest")
     # Starts in two steps, so that no task has more than the files of one writer, or a row for each writer.
     sums = files.groupBy("task").agg(F.sum("n_tokens").alias("in_task"))
     before = F.sum("in_task").over(Window.orderBy("task")) - F.col("in_task")
