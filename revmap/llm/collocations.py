@@ -40,7 +40,7 @@ GROWTH = 8
 FIELD_BITS = 25
 _CHUNK_BITS = 19
 #: Bytes of text that are counted at once; a longer text is worked on in blocks.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
