@@ -461,6 +461,15 @@ ORACLE["load_report_errors"] = """
 SELECT multi_line, count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS error_count, 6 AS first_error_column,
        'LOADED_WITH_ERRORS' AS status
 FROM customer, (VALUES (true), (false)) AS t(multi_line) GROUP BY 1"""
+ORACLE["positional_split"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS c1, CAST(l_linenumber AS VARCHAR) AS c2,
+       row_number() OVER (PARTITION BY l_linenumber ORDER BY l_orderkey) AS row_number FROM lineitem"""
+ORACLE["load_report_split"] = """
+SELECT count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS error_count,
+       min(n) FILTER (c_acctbal < 0) AS first_error_record, CASE WHEN min(c_acctbal) < 0 THEN 6 END AS first_error_column
+FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) GROUP BY c_nationkey"""
+ORACLE["content_keys_order"] = """
+SELECT CAST(files AS BIGINT) AS files, count(*) AS lines FROM customer, (VALUES (1), (2)) AS t(files) GROUP BY files"""
 ORACLE["csv_roundtrip"] = _flagged(f"SELECT {_TEXTS} FROM f")
 ORACLE["add_header"] = ORACLE["csv_roundtrip"]
 ORACLE["export_receipt"] = _flagged("""

@@ -4,6 +4,7 @@ one month reads only that month's orders; every other reads whole tables."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -427,6 +428,58 @@ def load_report_errors(spark, sf):
     )
 
 
+@contextmanager
+def _split_files(spark, path):
+    """Within it, the largest file below ``path`` is read by some eight tasks."""
+    largest = fl.list_files(spark, path).agg(F.max("length")).first()[0]
+    setting, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(setting, str(max(1, largest // 8)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+@query
+def positional_split(spark, sf):
+    """Order lines by position and number, from files that many tasks read; a file a line number."""
+    root = scratch_dir(spark, "split")
+    lines = v.table(spark, sf, "lineitem").select("l_linenumber", "l_orderkey", F.col("l_linenumber").alias("line"), "l_quantity")
+    lines = lines.repartition("l_linenumber").sortWithinPartitions("l_linenumber", "l_orderkey")
+    lines.write.partitionBy("l_linenumber").options(**mc.CSV_OPTS).csv(f"{root}/in")
+    with _split_files(spark, f"{root}/in"):
+        raw = mc.read_positional(spark, f"{root}/in", 3, multi_line=False)
+        return tb.reload_table(raw.select("c1", "c2", F.col("row_number").cast("bigint").alias("row_number")), f"{root}/read")
+
+
+@query
+def load_report_split(spark, sf):
+    """The first short row of every file, each read by many tasks; a file a nation, customers in debt are short."""
+    root = scratch_dir(spark, "split")
+    customers = v.table(spark, sf, "customer")
+    fields = [F.concat(F.lit("C."), "c_custkey"), *[F.col("c_name")] * 3]
+    line = F.concat_ws(",", *fields, F.when(F.col("c_acctbal") < 0, F.lit("short")).otherwise(F.lit("i,9")))
+    lines = customers.select("c_nationkey", "c_custkey", line.alias("line"))
+    lines = lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", F.col("line").alias(",".join(MAPPING_COLS)))
+    out = lines.write.partitionBy("c_nationkey").option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+    out.csv(f"{root}/in")
+    with _split_files(spark, f"{root}/in"):
+        report = mc.load_report(spark, f"{root}/in", run_ts=RUN_TS, multi_line=False)
+        return tb.reload_table(report.select("row_count", "error_count", "first_error_record", "first_error_column"), f"{root}/report")
+
+
+@query
+def content_keys_order(spark, sf):
+    """Keys of three files of the same lines: as they are, once more, and in the other order."""
+    root = scratch_dir(spark, "keys")
+    lines = v.mapping_full(spark, sf).select(F.concat_ws(",", *MAPPING_COLS).alias("line"))
+    for name, order in (("up", F.asc("line")), ("again", F.asc("line")), ("down", F.desc("line"))):
+        lines.repartition(1).sortWithinPartitions(order).write.text(f"{root}/in/{name}")
+    with _split_files(spark, f"{root}/in"):
+        keys = tb.reload_table(fl.content_keys(spark, f"{root}/in", glob="*.txt"), f"{root}/keys")
+    return keys.groupBy("content_key").agg(F.count("*").alias("files"), F.max("lines").alias("lines")).select("files", "lines")
+
+
 @query
 def csv_roundtrip(spark, sf):
     """The flagged view after an export."""

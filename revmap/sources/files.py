@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date
+from revmap.sources.numbering import number_rows, place_columns
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
 
@@ -66,16 +67,17 @@ def expired(files: DataFrame, as_of: str | dt.date, days: int = 90) -> DataFrame
 
 
 def content_keys(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """A content key per text file: its line count and an order-free checksum
-    of its lines. Lines are hashed where they are read and summed in each task,
-    so a file of any size can be split."""
+    """A content key per text file, from its lines and their order; files without a
+    line have none. Each line is hashed with its number where it is read, and the
+    hashes are summed in each task, so a file of any size can be split and its key
+    does not depend on how. The files are read twice, once to number the lines."""
     reader = spark.read.option("recursiveFileLookup", True)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    line = F.xxhash64("value")
+    numbered = number_rows(reader.text(root).select("value", *place_columns()), "line")
+    line = F.xxhash64("line", "value")
     return (
-        reader.text(root)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
+        numbered.groupBy("path")
         .agg(
             F.count("*").alias("lines"),
             F.sum(line.cast("decimal(20,0)")).alias("total"),

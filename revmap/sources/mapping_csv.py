@@ -12,6 +12,7 @@ from revmap.functions.columns import count_null, null_tokens
 from revmap.functions.dates import run_stamp
 from revmap.schemas import CSV_OPTS, MAPPING, MAPPING_COLS, string_schema
 from revmap.sources.files import file_name, latest_file, list_files, name_matches
+from revmap.sources.numbering import add_offsets, count_blocks, number_rows, place_columns
 
 CORRUPT = "_corrupt_record"
 
@@ -89,9 +90,8 @@ def load_report(
 ) -> DataFrame:
     """What a load of ``path`` and the folders below it reads, one row per file:
     size, rows, rows with the wrong number of fields, and the first such record: its
-    number (NULL where several tasks read the file, as none knows the rows before
-    its own) and its first missing or surplus column. Counted in one pass while
-    parsing; nothing is cached."""
+    number and its first missing or surplus column. Counted in one pass while parsing,
+    by block of a file, so large files may be split; nothing is cached."""
     raw = _raw(
         spark,
         path,
@@ -101,23 +101,25 @@ def load_report(
         check_header=check_header,
         multi_line=multi_line,
     )
-    rows = raw.where(_any_row()).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("file_size"),
-        F.monotonically_increasing_id().alias("position"),
-        "ID",
-        CORRUPT,
-    )
+    rows = raw.where(_any_row()).select(F.col("_metadata.file_size").alias("file_size"), *place_columns(), "ID", CORRUPT)
     bad = F.when(F.col(CORRUPT).isNotNull(), F.col("position"))
-    # The upper bits of a position are the task's number.
-    one_task = F.shiftright(F.min("position"), 33) == F.shiftright(F.max("position"), 33)
-    counted = rows.groupBy("path").agg(
+    blocks = count_blocks(
+        rows,
         F.first("file_size").alias("file_size"),
-        F.count("*").alias("row_parsed"),
-        F.count(CORRUPT).alias("error_count"),
+        F.count(CORRUPT).alias("errors"),
         count_null("ID").alias("null_ids"),
         F.min_by(CORRUPT, bad).alias("first_error"),
-        F.when(one_task, F.min(bad) - F.min("position") + 1).alias("first_error_record"),
+        F.min(bad).alias("first_bad"),
+    )
+    bad_block = F.when(F.col("errors") > 0, F.col("block"))
+    record = F.col("rows_before") + F.col("first_bad") - F.col("first") + 1
+    counted = add_offsets(blocks).groupBy("path").agg(
+        F.first("file_size").alias("file_size"),
+        F.sum("rows_in").alias("row_parsed"),
+        F.sum("errors").alias("error_count"),
+        F.sum("null_ids").alias("null_ids"),
+        F.min_by("first_error", bad_block).alias("first_error"),
+        F.min_by(record, bad_block).alias("first_error_record"),
     )
     # Commas outside quotes end a field.
     fields = F.size(F.split("first_error", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
@@ -153,27 +155,26 @@ def read_positional(
     multi_line: bool = True,
 ) -> DataFrame:
     """A delimited file by position: c1..cn, file name and time, and the row's
-    number in its file. With ``max_rows`` only the first rows of each file are
-    kept, and each task cuts its own before the shuffle. Without ``multi_line``
-    large files are split."""
+    number in its file. Without ``multi_line`` large files are split, and rows are
+    numbered by their block's offset. With ``max_rows`` only the first rows of each
+    file are kept, each task cuts its own before the shuffle, and nothing is counted."""
     columns = names or [f"c{i}" for i in range(1, n_cols + 1)]
     rows = (
         spark.read.schema(string_schema(columns))
         .options(**CSV_OPTS)
         .option("header", False)
         .option("multiLine", multi_line)
+        # The same rows are found whatever columns are read.
+        .option("columnPruning", False)
         .option("recursiveFileLookup", True)
         .csv(path)
-        .select(
-            *columns,
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_modification_time").alias("last_modified"),
-            F.monotonically_increasing_id().alias("position"),
-        )
+        .select(*columns, F.col("_metadata.file_modification_time").alias("last_modified"), *place_columns())
     )
-    numbered = rows.withColumn("row_number", F.row_number().over(Window.partitionBy("path").orderBy("position")))
-    if max_rows is not None:
-        numbered = numbered.where(F.col("row_number") <= max_rows)
+    if max_rows is None:
+        numbered = number_rows(rows)
+    else:
+        order = Window.partitionBy("path").orderBy("block", "position")
+        numbered = rows.withColumn("row_number", F.row_number().over(order)).where(F.col("row_number") <= max_rows)
     return null_tokens(numbered, columns).select(
         *columns, file_name(F.col("path")).alias("file_name"), "path", "last_modified", "row_number"
     )

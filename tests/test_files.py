@@ -16,6 +16,7 @@ from revmap.schemas import EXPORT_COLS, EXPORT_HEADER, MAPPING_COLS, REVENUE
 from revmap.sources import export as ex
 from revmap.sources import files as fl
 from revmap.sources import mapping_csv as mc
+from revmap.sources import numbering as nb
 from revmap.sources import tables as tb
 
 HEADER = ",".join(MAPPING_COLS)
@@ -121,6 +122,20 @@ def test_content_keys(spark, write, tmp_path):
     assert keys["a.csv"] == keys["b.csv"] != keys["c.csv"]
 
 
+def test_content_keys_see_the_order_of_lines_and_blocks(spark, tmp_path, small_blocks):
+    lines = [f"line {i} {'x' * (i % 60)}" for i in range(2000)]
+    swapped = [*lines[:700], lines[701], lines[700], *lines[702:]]
+    turned = lines[1000:] + lines[:1000]
+    for name, content in {"a": lines, "b": swapped, "c": turned, "d": lines, "e": lines[:-1], "f": [], "g": [""]}.items():
+        (tmp_path / f"{name}.txt").write_text("".join(x + "\n" for x in content))
+    keys = lambda: {r.path[-5]: r.content_key for r in fl.content_keys(spark, str(tmp_path)).collect()}
+    found = keys()
+    assert found["a"] == found["d"] and len({found[k] for k in "abceg"}) == 5
+    # A key does not depend on how the file is split.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    assert keys() == found
+
+
 def test_positional_rows_are_numbered_per_file(spark, write, tmp_path):
     for name in ("a.csv", "b.csv"):
         write(f"in/{name}", "x,1", "y,2", "z,\"3\n4\"", header="h,k")
@@ -130,6 +145,65 @@ def test_positional_rows_are_numbered_per_file(spark, write, tmp_path):
     assert mc.read_positional(spark, str(tmp_path / "in"), 2, max_rows=2).count() == 4
 
 
+@pytest.fixture
+def small_blocks(spark):
+    """Files are read in blocks of 4 KB."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_of_split_files_are_numbered_by_offsets(spark, tmp_path, small_blocks):
+    """Files of one line, none, blank lines, and of many blocks, with lines longer than a block."""
+    wanted = {}
+    for name, lines in {
+        "one.csv": ["only,1"],
+        "none.csv": [],
+        "many.csv": [f"r{i},{'x' * (i % 97)}" for i in range(3000)],
+        "long.csv": [f"r{i},{'y' * (9000 if i % 7 == 0 else 3)}" for i in range(60)],
+        "blank.csv": [f"r{i},z" if i % 5 else "" for i in range(2000)],
+    }.items():
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("".join(line + "\n" for line in lines))
+        wanted |= {(name, n): line.split(",")[0] for n, line in enumerate((x for x in lines if x), 1)}
+    raw = mc.read_positional(spark, str(tmp_path / "in"), 2, multi_line=False)
+    assert {(r.file_name, r.row_number): r.c1 for r in raw.collect()} == wanted
+    assert raw.count() == len(wanted) and raw.rdd.getNumPartitions() > 20
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = mc.read_positional(spark, str(tmp_path / "in"), 2, multi_line=False)
+        assert {(r.file_name, r.row_number): r.c1 for r in shuffled.collect()} == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    first = mc.read_positional(spark, str(tmp_path / "in"), 2, multi_line=False, max_rows=3)
+    assert {(r.file_name, r.row_number): r.c1 for r in first.collect()} == {k: c for k, c in wanted.items() if k[1] <= 3}
+
+
+def test_first_error_of_a_split_file(spark, tmp_path, small_blocks):
+    good, bad = "id{},A,1,g,i,9", "id{},A,1,g,i"
+    for name, errors in (("late.csv", {1900, 1950}), ("early.csv", {3, 1999}), ("clean.csv", set())):
+        lines = [HEADER] + [(bad if i in errors else good).format(i) for i in range(2000)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    for multi_line in (True, False):
+        report = {r.file_name: r for r in mc.load_report(spark, str(tmp_path), multi_line=multi_line).collect()}
+        assert {n: (r.row_count, r.error_count, r.first_error_record) for n, r in report.items()} == {
+            "late.csv": (2000, 2, 1901),
+            "early.csv": (2000, 2, 4),
+            "clean.csv": (2000, 0, None),
+        }
+        assert report["late.csv"].first_error == "id1900,A,1,g,i"
+
+
+def test_blocks_that_change_are_an_error(spark, tmp_path, small_blocks):
+    (tmp_path / "a.csv").write_text("".join(f"r{i},{i}\n" for i in range(3000)))
+    raw = mc.read_positional(spark, str(tmp_path), 2, multi_line=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    with pytest.raises((PySparkException, Py4JJavaError), match="changed while it was read"):
+        raw.collect()
+
+
 # Exports
 
 
@@ -219,8 +293,7 @@ def test_a_short_row_is_one_to_every_reader(spark, tmp_path, multi_line):
                 use(read("strict"))
         report = mc.load_report(spark, str(tmp_path / "in"), multi_line=multi_line).first()
         assert (report.row_count, report.error_count, report.first_error_column) == (2000, 1, 6)
-        # Only a task that has read the whole file knows the number.
-        assert report.first_error_record == (1501 if multi_line else None)
+        assert report.first_error_record == 1501
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
