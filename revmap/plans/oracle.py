@@ -554,6 +554,13 @@ SELECT lang, count(*) AS documents, count(*) FILTER (regexp_matches(text, '[\\n\
 FROM documents GROUP BY lang"""
 ORACLE["documents_roundtrip"] = """
 SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS text_md5 FROM documents"""
+ORACLE["export_capped"] = """
+SELECT count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars, false AS too_large, false AS too_many FROM documents"""
+_DEBT = "count(*) FILTER (c_acctbal < 0)"
+ORACLE["export_invalid_bytes"] = f"""
+SELECT c_custkey AS ID, if(c_acctbal < 0, c_name || chr(65533) || c_name || chr(65533), c_name) AS name,
+       (SELECT 2 * {_DEBT} FROM customer) AS replaced FROM customer"""
+ORACLE["load_report_invalid"] = f"SELECT {_DEBT} AS invalid_lines, 2 * {_DEBT} AS replaced_characters FROM customer"
 ORACLE["split_line"] = _with(FULL) + "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in MAPPING_COLS) + " FROM m"
 ORACLE["table_rebuild"] = ORACLE["typed_mapping"]
 ORACLE["partitioned_revenue"] = _month(

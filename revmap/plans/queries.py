@@ -686,6 +686,52 @@ def documents_roundtrip(spark, sf):
     )
 
 
+@query
+def export_capped(spark, sf):
+    """Documents of very uneven length in files of 256 KB at most: whether all rows
+    are there, whether a file is larger, and whether there are over twice as many as
+    the bytes need (and one)."""
+    cap = 256 << 10
+    docs = v.table(spark, sf, "documents").select(F.col("doc_id").alias("ID"), "text")
+    path = ex.export_csv(docs, scratch_dir(spark, "capped"), "documents", as_of=AS_OF, max_bytes=cap, run_ts=RUN_TS).first().path
+    files = fl.list_files(spark, path, glob="*.csv").agg(
+        F.max("length").alias("largest"), F.count("*").alias("files"), F.ceil(F.sum("length") / cap).alias("least")
+    )
+    rows = ex.read_export(spark, path, ["ID", "TEXT"]).agg(F.count("*").alias("n"), F.sum(F.length("TEXT")).alias("n_chars"))
+    return rows.crossJoin(files).select(
+        "n", "n_chars", (F.col("largest") > cap).alias("too_large"), (F.col("files") > 2 * F.col("least") + 1).alias("too_many")
+    )
+
+
+def _broken_names(spark, sf):
+    """Customers; the names of those in debt hold bytes that are no UTF-8."""
+    name = F.encode("c_name", "UTF-8")
+    broken = F.concat(name, F.unhex(F.lit("FF")), name, F.unhex(F.lit("E282"))).cast("string")
+    customers = v.table(spark, sf, "customer")
+    return customers.select(F.col("c_custkey").alias("ID"), F.when(F.col("c_acctbal") < 0, broken).otherwise(F.col("c_name")).alias("name"))
+
+
+@query
+def export_invalid_bytes(spark, sf):
+    """Names with bytes that are no UTF-8, after an export, and how many characters it put in."""
+    receipt = ex.export_csv(
+        _broken_names(spark, sf), scratch_dir(spark, "invalid"), "names", as_of=AS_OF, run_ts=RUN_TS, invalid="replace"
+    ).first()
+    back = ex.read_export(spark, receipt.path, ["ID", "NAME"])
+    return back.select(F.col("ID").cast("bigint").alias("ID"), F.col("NAME").alias("name"), F.lit(receipt.replaced_characters).alias("replaced"))
+
+
+@query
+def load_report_invalid(spark, sf):
+    """Lines with bytes that are no UTF-8 in files of mappings, and the characters a reader puts in."""
+    root = scratch_dir(spark, "invalid")
+    fields = [F.concat(F.lit("C."), "ID"), F.col("name"), *[F.lit("x")] * 4]
+    names = _broken_names(spark, sf).select(F.concat_ws(",", *fields).alias("line"))
+    names.write.text(f"{root}/in")
+    report = mc.load_report(spark, f"{root}/in", run_ts=RUN_TS, check_header=False, multi_line=False, count_invalid=True)
+    return report.agg(F.sum("invalid_lines").alias("invalid_lines"), F.sum("replaced_characters").alias("replaced_characters"))
+
+
 @query
 def split_line(spark, sf):
     """Mapping lines cut back into fields."""

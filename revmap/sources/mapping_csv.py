@@ -13,6 +13,7 @@ from revmap.functions.dates import run_stamp
 from revmap.schemas import CSV_OPTS, MAPPING, MAPPING_COLS, string_schema
 from revmap.sources.files import file_name, latest_file, list_files, name_matches
 from revmap.sources.numbering import add_offsets, count_blocks, number_rows, place_columns
+from revmap.sources.utf8 import invalid_lines
 
 CORRUPT = "_corrupt_record"
 
@@ -87,11 +88,15 @@ def load_report(
     run_ts: dt.datetime | str | None = None,
     check_header: bool = True,
     multi_line: bool = True,
+    count_invalid: bool = False,
 ) -> DataFrame:
     """What a load of ``path`` and the folders below it reads, one row per file:
     size, rows, rows with the wrong number of fields, and the first such record: its
     number and its first missing or surplus column. Counted in one pass while parsing,
-    by block of a file, so large files may be split; nothing is cached."""
+    by block of a file, so large files may be split; nothing is cached.
+
+    With ``count_invalid`` the files are read once more, as lines, for bytes that are
+    no UTF-8: ``invalid_lines``, ``replaced_characters`` and ``first_invalid_line``."""
     raw = _raw(
         spark,
         path,
@@ -124,6 +129,11 @@ def load_report(
     # Commas outside quotes end a field.
     fields = F.size(F.split("first_error", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
     column = F.when(F.col("first_error").isNotNull(), F.least(fields, F.lit(len(MAPPING_COLS))) + 1)
+    invalid = []
+    if count_invalid:
+        found = invalid_lines(spark, path, pattern).drop("lines").withColumnRenamed("replaced", "replaced_characters")
+        counted = counted.join(found, "path", "left")
+        invalid = ["invalid_lines", "replaced_characters", "first_invalid_line"]
     return counted.select(
         file_name(F.col("path")).alias("file_name"),
         "file_size",
@@ -136,6 +146,7 @@ def load_report(
         column.alias("first_error_column"),
         F.when(F.col("error_count") == 0, "LOADED").otherwise("LOADED_WITH_ERRORS").alias("status"),
         run_stamp(run_ts).alias("last_load_time"),
+        *invalid,
     )
 
 

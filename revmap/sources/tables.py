@@ -23,6 +23,11 @@ def reload_table(df: DataFrame, path: str, *, partition_by: str | None = None) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession, path: str) -> None:
+    """Give up what a folder of scratch space holds: an empty table replaces it."""
+    spark.createDataFrame([], "cleared int").write.mode("overwrite").parquet(path)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType = MAPPING) -> DataFrame:
     """An empty table at ``path`` unless there is one."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)

@@ -278,6 +278,87 @@ def test_no_file_exceeds_its_cap(spark, tmp_path):
         ex.export_csv(uneven, str(tmp_path), "uneven", as_of="2025-10-15", max_bytes=50_000, single=True)
 
 
+def _file_sizes(path):
+    return [os.path.getsize(f"{path}/{n}") for n in sorted(os.listdir(path)) if n.startswith("part-")]
+
+
+@pytest.mark.parametrize(
+    "key", ["CAST(id AS BIGINT)", "CAST(id % 7 AS STRING)", "IF(id % 3 = 0, NULL, id DIV 900)", "date_add(DATE '2020-01-01', CAST(id % 11 AS INT))",
+            "IF(id % 5 = 0, double('nan'), -id / 3)", "CAST(id % 13 AS DECIMAL(20, 2)) / 3", "CAST(NULL AS STRING)", "concat('é', id)"],
+)
+def test_files_are_cut_at_bytes(spark, tmp_path, key):
+    """Rows of 10 to 40,000 bytes: no file above the cap, few files, all rows in order."""
+    rows = spark.range(0, 3000, 1, 7).selectExpr(
+        f"{key} AS ID", "id AS n", "repeat(IF(id % 2 = 0, '\"', 'x'), CAST(IF(id % 250 = 7, 19000, 5 + id % 90) AS INT)) AS text"
+    )
+    path = ex.export_csv(rows, str(tmp_path), "cut", as_of="2025-10-15", max_bytes=60_000).first().path
+    sizes = _file_sizes(path)
+    assert max(sizes) <= 60_000
+    assert len(sizes) <= 2 * -(-sum(sizes) // 60_000) + 1
+    back = ex.read_export(spark, path, ["ID", "N", "TEXT"])
+    assert back.agg(F.count("*"), F.countDistinct("N"), F.sum(F.length("TEXT"))).first() == rows.agg(
+        F.count("*"), F.countDistinct("n"), F.sum(F.length("text"))
+    ).first()
+    found = back.select("file_name", F.col("N").cast("bigint").alias("n")).collect()
+    place = {r.n: r.file_name for r in found}
+    wanted = [r.n for r in rows.orderBy(F.asc_nulls_last("ID")).collect()]
+    keys = {r.n: r.ID for r in rows.collect()}
+    for a, b in zip(wanted, wanted[1:], strict=False):
+        assert place[a] <= place[b] or repr(keys[a]) == repr(keys[b])
+
+
+def test_a_dominant_key_fills_several_files(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 5).selectExpr("IF(id < 3000, 'same', concat('k', id)) AS ID", "repeat('y', 100) AS text")
+    path = ex.export_csv(rows, str(tmp_path), "hot", as_of="2025-10-15", max_bytes=30_000).first().path
+    sizes = _file_sizes(path)
+    assert max(sizes) <= 30_000 and len(sizes) <= 2 * -(-sum(sizes) // 30_000) + 1
+    assert ex.read_export(spark, path, ["ID", "TEXT"]).where("ID = 'same'").count() == 3000
+
+
+def test_a_row_beyond_the_cap_has_its_own_file(spark, tmp_path):
+    rows = spark.range(0, 50, 1, 3).selectExpr("id AS ID", "repeat('z', IF(id % 10 = 3, 9000, 10)) AS text")
+    path = ex.export_csv(rows, str(tmp_path), "large", as_of="2025-10-15", max_bytes=5_000).first().path
+    sizes = _file_sizes(path)
+    assert sum(s > 5_000 for s in sizes) == 5 and max(sizes) < 9_100 and len(sizes) <= 11
+    assert ex.read_export(spark, path, ["ID", "TEXT"]).count() == 50
+
+
+def test_the_copy_of_an_export_is_cleared(spark, view, tmp_path, monkeypatch):
+    monkeypatch.setattr(ex, "scratch_dir", lambda *_: str(tmp_path / "copy"))
+    path = ex.export_csv(view, str(tmp_path / "out"), "mapped").first().path
+    assert spark.read.parquet(str(tmp_path / "copy")).columns == ["cleared"]
+    assert _texts(ex.read_export(spark, path)) == _texts(view)
+
+
+def test_bytes_that_are_no_utf8(spark, tmp_path):
+    broken = "CAST(concat(encode('a', 'UTF-8'), X'FF', encode('é', 'UTF-8'), X'E282', encode('z', 'UTF-8')) AS STRING)"
+    rows = spark.range(0, 60, 1, 4).selectExpr("CAST(id AS STRING) AS ID", f"IF(id % 20 = 3, {broken}, IF(id % 2 = 0, 'ok \ufffd', NULL)) AS text")
+    receipt = ex.export_csv(rows, str(tmp_path), "bad", as_of="2025-10-15", invalid="replace").first()
+    assert receipt.replaced_characters == 6
+    back = {int(r.ID): r.TEXT for r in ex.read_export(spark, receipt.path, ["ID", "TEXT"]).collect()}
+    assert {back[i] for i in (3, 23, 43)} == {"a\ufffdé\ufffdz"} and back[4] == "ok \ufffd" and back[5] is None
+    assert "replaced_characters" not in ex.export_csv(rows, str(tmp_path), "same", as_of="2025-10-15", max_bytes=300).columns
+    assert max(_file_sizes(f"{tmp_path}/same_202509")) <= 300
+    with pytest.raises(ValueError, match="6 characters"):
+        ex.export_csv(rows, str(tmp_path), "no", as_of="2025-10-15", invalid="error")
+    assert not (tmp_path / "no_202509").exists()
+    clean = ex.export_csv(rows.where("ID = '4'"), str(tmp_path), "clean", as_of="2025-10-15", invalid="error").first()
+    assert clean.replaced_characters == 0
+
+
+def test_invalid_lines_of_split_files(spark, tmp_path, small_blocks):
+    good, bad = b"id,A,1,g,i,9", b"i\xffd,A\xe2\x82,1,g,i,9"
+    for name, at in (("late.csv", {1800, 1850}), ("early.csv", {2}), ("clean.csv", set())):
+        lines = [HEADER.encode()] + [bad if i in at else good for i in range(2, 2000)]
+        (tmp_path / name).write_bytes(b"\n".join(lines) + b"\n")
+    report = mc.load_report(spark, str(tmp_path), multi_line=False, count_invalid=True).collect()
+    assert {r.file_name: (r.row_count, r.invalid_lines, r.replaced_characters, r.first_invalid_line) for r in report} == {
+        "late.csv": (1998, 2, 4, 1800),
+        "early.csv": (1998, 1, 2, 2),
+        "clean.csv": (1998, 0, 0, None),
+    }
+
+
 @pytest.mark.parametrize("multi_line", [True, False])
 def test_a_short_row_is_one_to_every_reader(spark, tmp_path, multi_line):
     lines = [",".join(MAPPING_COLS)] + [f"id{i},A,1,g,i,9" if i != 1500 else "bad,A,1,g,i" for i in range(2000)]
