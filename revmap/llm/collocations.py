@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,11 @@ FIELD_BITS = 25
 _CHUNK_BITS = 19
 #: Bytes of text that are counted at once; a longer text is worked on in blocks.
 BLOCK_BYTES = 1 << 20
+#: Bytes of counts that a task adds up before they are packed and sent.
+HELD_BYTES = 16 << 20
+#: Bytes of text for one bucket, whose counts are added up at once. A task sends a frequent
+#: pair once for HELD_BYTES, so no bucket grows with a pair's frequency.
+BUCKET_BYTES = 8 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -126,19 +132,68 @@ def _counted(schema: pa.Schema, names: pa.Array, words: pa.Array, lang, parts, n
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def _count_words(batches):
+def _block_counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Occurrences of words (w2 null), of pairs, and of all words of a language (w1 null as well)."""
-    for batch in batches:
-        blocks, names = _texts(batch)
-        for b in blocks:
-            v = max(1, len(b.words))
-            key, n = np.unique(b.lang[b.new] * v + b.number[b.new], return_counts=True)
-            yield _counted(_WORDS, names, b.words, key // v, (key % v, None), n)
-            lang, n = np.unique(b.lang[b.new], return_counts=True)
-            yield _counted(_WORDS, names, b.words, lang, (None, None), n)
-            at, pair = b.pairs()
-            key, n = np.unique(pair[b.new[at + 1]], return_counts=True)
-            yield _counted(_WORDS, names, b.words, key // v // v, (key // v % v, key % v), n)
+    blocks, names = _texts(batch)
+    for b in blocks:
+        v = max(1, len(b.words))
+        key, n = np.unique(b.lang[b.new] * v + b.number[b.new], return_counts=True)
+        yield _counted(_WORDS, names, b.words, key // v, (key % v, None), n)
+        lang, n = np.unique(b.lang[b.new], return_counts=True)
+        yield _counted(_WORDS, names, b.words, lang, (None, None), n)
+        at, pair = b.pairs()
+        key, n = np.unique(pair[b.new[at + 1]], return_counts=True)
+        yield _counted(_WORDS, names, b.words, key // v // v, (key // v % v, key % v), n)
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(parts).group_by(["lang", "w1", "w2"], use_threads=False).aggregate([("n", "sum")])
+    return found.rename_columns([c.removesuffix("_sum") for c in found.column_names]).select(_WORDS.names)
+
+
+def _packed(parts: list[pa.RecordBatch], buckets: int) -> pa.RecordBatch:
+    """Counts added up and packed, one row for each bucket of words and pairs."""
+    counts = _summed([pa.Table.from_batches([p]) for p in parts]).combine_chunks()
+    hashes = [_hashes(counts.column(c).combine_chunks()) for c in ("lang", "w1", "w2")]
+    with np.errstate(over="ignore"):
+        bucket = (seq.mix(seq.mix(seq.mix(hashes[0]) * np.uint64(7) + hashes[1]) * np.uint64(11) + hashes[2]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    counts, bucket = counts.take(pa.array(order)).combine_chunks(), bucket[order]
+    found, first = np.unique(bucket, return_index=True)
+    rows = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _WORDS, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+            out.write_table(counts.slice(a, b - a))
+        rows.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(rows, pa.binary())], ["bucket", "counts"])
+
+
+def _count_words(buckets: int):
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in _block_counts(batch):
+                held.append(part)
+                size += part.nbytes
+                if size >= HELD_BYTES:
+                    yield _packed(held, buckets)
+                    held, size = [], 0
+        if held:
+            yield _packed(held, buckets)
+
+    return run
+
+
+def _frequent(min_count: int):
+    """The counts of a bucket, added up; rare words and pairs go."""
+
+    def run(key, rows):
+        counts = _summed([pa.ipc.open_stream(r.as_buffer()).read_all() for r in rows.column("counts")])
+        kept = pc.or_(pc.is_null(counts.column("w1")), pc.greater_equal(counts.column("n"), min_count))
+        return counts.filter(kept)
+
+    return run
 
 
 def _bits(lang: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -285,9 +340,10 @@ def collocations(
     phrases. Other columns play no part.
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(NO_LANG)).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    counted = texts.mapInArrow(_count_words, "lang string, w1 string, w2 string, n long")
-    counted = counted.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n"))
-    counted = stored(counted.where(F.col("w1").isNull() | (F.col("n") >= min_count)), "words-and-pairs")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    packed = texts.mapInArrow(_count_words(1 + size // BUCKET_BYTES), "bucket long, counts binary")
+    counted = packed.groupBy("bucket").applyInArrow(_frequent(min_count), "lang string, w1 string, w2 string, n long")
+    counted = stored(counted, "words-and-pairs")
     totals = stored(counted.where("w1 IS NULL").select("lang", "n"), "totals")
     words = counted.where("w1 IS NOT NULL AND w2 IS NULL").select("lang", "w1", "n")
     pairs = (

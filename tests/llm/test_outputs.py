@@ -87,7 +87,7 @@ def test_blocks_count_every_word_once(monkeypatch, size):
     texts = [speech(1, 300, 40), "", None, "x" * 1000, "a b " * 200, speech(2, 50, 9), "y" * 500 + " " + "z" * 700 + " q", "."]
     batch = pa.RecordBatch.from_pydict({"lang": ["a", "b", None, "a", "b", "a", "c", "d"], "text": texts})
     total = Counter()
-    for part in collocations._count_words([batch]):
+    for part in collocations._block_counts(batch):
         for r in part.to_pylist():
             total[r["lang"], r["w1"], r["w2"]] += r["n"]
     wanted = Counter()
