@@ -43,7 +43,7 @@ _CHUNK_BITS = 19
 #: Bytes of text that are counted at once; a longer text is worked on in blocks.
 BLOCK_BYTES = 1 << 20
 #: Bytes of counts that a task adds up before they are packed and sent.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 8 << 20
 #: Bytes of text for one bucket, whose counts are added up at once. A task sends a frequent
 #: pair once for HELD_BYTES, so no bucket grows with a pair's frequency.
 BUCKET_BYTES = 8 << 20
