@@ -19,7 +19,7 @@ from revmap.operators.gates import GateError, gate_import, gate_non_empty
 from revmap.operators.mapping import map_revenue
 from revmap.sources.export import export_csv
 from revmap.sources.mapping_csv import read_mapping
-from revmap.sources.tables import reload_table
+from revmap.sources.tables import read_table, reload_table, write_version
 
 STEPS = ["import", "quality_raw", "create_view", "quality_merged", "export"]
 
@@ -96,30 +96,32 @@ def _written(step: str, cfg: RunConfig, reports: dict[str, DataFrame]) -> StepRe
 
 
 def _import(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    # The gate stands before the swap: a mapping that fails leaves the last good one.
-    staged = reload_table(_read_mapping(spark, cfg), f"{cfg.mapping_table}_staged")
-    gate = gate_import(staged, strict=cfg.strict)
-    reload_table(staged, cfg.mapping_table)
+    # The gate stands before the switch: a mapping that fails leaves the last good one.
+    version = write_version(_read_mapping(spark, cfg), cfg.mapping_table)
+    gate = gate_import(version.rows, strict=cfg.strict)
+    version.publish()
     return StepResult("import", True, gate.message)
 
 
 def _quality_raw(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    return _written("quality_raw", cfg, _raw_reports(spark.read.parquet(cfg.mapping_table)))
+    return _written("quality_raw", cfg, _raw_reports(read_table(spark, cfg.mapping_table)))
 
 
 def _create_view(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    view = _mapped(cfg, spark.read.parquet(cfg.mapping_table))
-    gate = gate_non_empty(reload_table(view, cfg.view_table), on_empty=cfg.on_empty)
+    view = _mapped(cfg, read_table(spark, cfg.mapping_table))
+    version = write_version(view, cfg.view_table)
+    gate = gate_non_empty(version.rows, on_empty=cfg.on_empty)
+    version.publish()
     return StepResult("create_view", True, gate.message)
 
 
 def _quality_merged(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    m, v = spark.read.parquet(cfg.mapping_table), spark.read.parquet(cfg.view_table)
+    m, v = read_table(spark, cfg.mapping_table), read_table(spark, cfg.view_table)
     return _written("quality_merged", cfg, _merged_reports(cfg, m, v))
 
 
 def _export(spark: SparkSession, cfg: RunConfig) -> StepResult:
-    v = spark.read.parquet(cfg.view_table)
+    v = read_table(spark, cfg.view_table)
     receipt = export_csv(
         v,
         cfg.export_dir,

@@ -563,6 +563,10 @@ SELECT c_custkey AS ID, if(c_acctbal < 0, c_name || chr(65533) || c_name || chr(
 ORACLE["load_report_invalid"] = f"SELECT {_DEBT} AS invalid_lines, 2 * {_DEBT} AS replaced_characters FROM customer"
 ORACLE["split_line"] = _with(FULL) + "SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in MAPPING_COLS) + " FROM m"
 ORACLE["table_rebuild"] = ORACLE["typed_mapping"]
+ORACLE["table_versions"] = _raw("""
+SELECT reader, count(*) AS n, count(*) AS ids FROM customer, (VALUES ('before'), ('held')) AS t(reader) GROUP BY reader
+UNION ALL SELECT 'after', count(*), count(ID) FROM m
+UNION ALL SELECT 'superseded', 1, 1""")
 ORACLE["partitioned_revenue"] = _month(
     f"SELECT {_REV_LIST.replace(', r.aggregation_source', '')}, {_FIELDS} FROM r LEFT JOIN m ON r.id = m.ID", CLEAN
 )

@@ -337,7 +337,7 @@ def _flagged(spark, sf):
 
 def _stored_flagged(spark, sf, root):
     """The flagged view as a table, so that it is worked out once."""
-    return tb.reload_table(_flagged(spark, sf), f"{root}/view")
+    return tb.store_rows(_flagged(spark, sf), f"{root}/view")
 
 
 def _mapping_files(spark, sf, root):
@@ -449,7 +449,7 @@ def positional_split(spark, sf):
     lines.write.partitionBy("l_linenumber").options(**mc.CSV_OPTS).csv(f"{root}/in")
     with _split_files(spark, f"{root}/in"):
         raw = mc.read_positional(spark, f"{root}/in", 3, multi_line=False)
-        return tb.reload_table(raw.select("c1", "c2", F.col("row_number").cast("bigint").alias("row_number")), f"{root}/read")
+        return tb.store_rows(raw.select("c1", "c2", F.col("row_number").cast("bigint").alias("row_number")), f"{root}/read")
 
 
 @query
@@ -465,7 +465,7 @@ def load_report_split(spark, sf):
     out.csv(f"{root}/in")
     with _split_files(spark, f"{root}/in"):
         report = mc.load_report(spark, f"{root}/in", run_ts=RUN_TS, multi_line=False)
-        return tb.reload_table(report.select("row_count", "error_count", "first_error_record", "first_error_column"), f"{root}/report")
+        return tb.store_rows(report.select("row_count", "error_count", "first_error_record", "first_error_column"), f"{root}/report")
 
 
 @query
@@ -476,7 +476,7 @@ def content_keys_order(spark, sf):
     for name, order in (("up", F.asc("line")), ("again", F.asc("line")), ("down", F.desc("line"))):
         lines.repartition(1).sortWithinPartitions(order).write.text(f"{root}/in/{name}")
     with _split_files(spark, f"{root}/in"):
-        keys = tb.reload_table(fl.content_keys(spark, f"{root}/in", glob="*.txt"), f"{root}/keys")
+        keys = tb.store_rows(fl.content_keys(spark, f"{root}/in", glob="*.txt"), f"{root}/keys")
     return keys.groupBy("content_key").agg(F.count("*").alias("files"), F.max("lines").alias("lines")).select("files", "lines")
 
 
@@ -749,6 +749,23 @@ def table_rebuild(spark, sf):
     return tb.rebuild_table(spark, path, lambda m: dq.typed(m, require_id=True))
 
 
+@query
+def table_versions(spark, sf):
+    """What readers of a table get while it is loaded: the rows before the switch and
+    after it, the versions out of use, and their sizes against the current one."""
+    path = scratch_dir(spark, "versions")
+    full = v.mapping_full(spark, sf)
+    tb.reload_table(full, path)
+    early = tb.read_table(spark, path)
+    loading = tb.write_version(v.mapping_faulty(spark, sf), path)
+    before = tb.read_table(spark, path)
+    loading.publish()
+    parts = {"before": before, "after": tb.read_table(spark, path), "held": early}
+    counts = [f.groupBy(F.lit(name).alias("reader")).agg(F.count("*").alias("n"), F.count("ID").alias("ids")) for name, f in parts.items()]
+    out = tb.superseded(spark, path).groupBy(F.lit("superseded").alias("reader")).agg(F.count("*").alias("n"), F.max("version").alias("ids"))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(out)
+
+
 @query
 def partitioned_revenue(spark, sf):
     """Mapped revenue from a table partitioned by month: the month filter reads

@@ -22,7 +22,7 @@ from revmap.operators.skew import ordered_by
 from revmap.schemas import CSV_OPTS, EXPORT_HEADER, string_schema
 from revmap.session import scratch_dir
 from revmap.sources.files import folder_name, name_matches
-from revmap.sources.tables import clear, reload_table
+from revmap.sources.tables import clear, store_rows
 from revmap.sources.utf8 import invalid_total, made_valid
 
 # Fixed value: the size cap of one exported file in bytes.
@@ -85,7 +85,7 @@ def export_csv(
     df, copy = df.select("*", size_of.alias(_SIZE), F.monotonically_increasing_id().alias(_ROW)), None
     if store:
         copy = scratch_dir(spark, "export")
-        df = reload_table(df, copy)
+        df = store_rows(df, copy)
     month = None if as_of is None else prior_month_value(as_of, months_back).strftime("%Y%m")
     size, rows, replaced = 0, 0, 0
     if month is None or max_records is None or single or bad:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revmap.session import scratch_dir
-from revmap.sources.tables import reload_table
+from revmap.sources.tables import store_rows
 
 
 def place_columns() -> list[Column]:
@@ -42,7 +42,7 @@ def number_rows(rows: DataFrame, name: str = "row_number") -> DataFrame:
     size, so that Spark sends them to the tasks as long as they are few and shuffles
     both sides beyond that. Files that change between the two readings are an error."""
     offsets = add_offsets(count_blocks(rows)).select("path", "block", "rows_in", "first", "rows_before")
-    offsets = reload_table(offsets, scratch_dir(rows.sparkSession, "offsets"))
+    offsets = store_rows(offsets, scratch_dir(rows.sparkSession, "offsets"))
     place = F.col("position") - F.col("first")
     known = F.col("rows_in").isNotNull() & (place >= 0) & (place < F.col("rows_in"))
     number = F.when(known, F.col("rows_before") + place + 1).otherwise(
