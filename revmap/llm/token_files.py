@@ -41,8 +41,8 @@ MAX_VOCABULARY_BYTES = 64 << 20
 BLOCK_BYTES = 8 << 20
 #: A file is closed once it has so many ids; a document is never divided.
 FILE_TOKENS = 2 << 20
-#: Ids for one task that writes files.
-TASK_TOKENS = 4 << 20
+#: Bytes of text for one task.
+TASK_BYTES = 16 << 20
 
 _MAGIC = b"DACTOK1\0"
 _CHUNK = 8
@@ -317,32 +317,16 @@ def _put(folder: str, name: str, data: bytes) -> None:
     store.move(unfinished, f"{path}/{name}")
 
 
-_ENCODED = "id string, n_tokens bigint, crc bigint, ids binary"
 _FILES = "task int, file string, n_tokens bigint, n_docs bigint"
 _READ = "file string, id string, at bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def _encoder(vocabulary: Broadcast, end_id: int | None, stored_as: str):
-    def run(batches):
-        encoder = UnitEncoder(vocabulary.value)
-        tail = np.array([] if end_id is None else [end_id], "<u4")
-        for batch in batches:
-            ids, starts = encoder.encode(*seq.buffers(batch.column(1)))
-            size, crc, rows = [], [], []
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                row = np.concatenate([ids[a:b].astype("<u4"), tail])
-                size.append(len(row))
-                crc.append(zlib.crc32(row))
-                rows.append(row.astype(stored_as).tobytes())
-            columns = [batch.column(0), pa.array(size, pa.int64()), pa.array(crc, pa.int64()), pa.array(rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "crc", "ids"])
-
-    return run
-
+def _writer(folder: str, vocabulary: Broadcast, end_id: int | None):
+    """Encode a task's documents, which are in order, and write them to files."""
 
-def _writer(folder: str, stored_as: str):
     def run(batches):
-        task = TaskContext.get().partitionId()
+        encoder, task = UnitEncoder(vocabulary.value), TaskContext.get().partitionId()
+        tail = np.array([] if end_id is None else [end_id], np.uint32)
         files, ids, tokens, ends = 0, [], [], []
 
         def close():
@@ -353,14 +337,14 @@ def _writer(folder: str, stored_as: str):
 
         schema = pa.schema([("task", pa.int32()), ("file", pa.string()), ("n_tokens", pa.int64()), ("n_docs", pa.int64())])
         for batch in batches:
-            for doc_id, row in zip(batch.column("id").to_pylist(), batch.column("ids"), strict=True):
+            coded, starts = encoder.encode(*seq.buffers(batch.column("text")))
+            for doc_id, a, b in zip(batch.column("id").to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 ids.append(doc_id)
-                tokens.append(np.frombuffer(row.as_buffer(), stored_as))
+                tokens.append(np.concatenate([coded[a:b].astype(np.uint32), tail]))
                 ends.append((ends[-1] if ends else 0) + len(tokens[-1]))
                 if ends[-1] >= FILE_TOKENS:
                     yield close()
                     files, ids, tokens, ends = files + 1, [], [], []
-            tokens = [np.array(t) for t in tokens]  # what stays does not keep the batch
         if ids:
             yield close()
 
@@ -398,14 +382,14 @@ def write_token_files(
 
     Returns one row a file in order: ``task``, ``file``, ``n_tokens``, ``n_docs`` and
     ``start``, the number of ids in all files before it. ``folder`` is a path or URI that
-    every executor can write to (file, hdfs, s3, gs). Texts are encoded once and their
-    ids stored; only ids are shuffled. File names and contents depend on the stored ids
-    alone, so a task that is repeated writes the same files again.
+    every executor can write to (file, hdfs, s3, gs). Texts are dealt out by ranges of ids,
+    then encoded and written where they land: one shuffle, and no ids are stored but in
+    the files. A task that is repeated writes the same files again.
 
     A null text is empty and has the end id only. Rows without an id come first, and
-    keep a null as their id; rows that repeat an id are all written, by the crc32 of their
-    ids. A text of any length is encoded in blocks; one document is never divided over
-    files. No documents, no files. Other columns play no part.
+    keep a null as their id; rows that repeat an id are all written, in the order of a
+    checksum of their texts. A text of any length is encoded in blocks; one document is
+    never divided over files. No documents, no files. Other columns play no part.
     """
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as file:
@@ -415,15 +399,14 @@ def write_token_files(
     read = json.loads(vocabulary)
     if read.get("normalizer") or read["pre_tokenizer"].get("type") != "ByteLevel" or read["pre_tokenizer"].get("add_prefix_space"):
         raise ValueError(f"{vocabulary_path} is no byte-level vocabulary")
-    largest = max([*read["model"]["vocab"].values(), *(t["id"] for t in read["added_tokens"]), end_id or 0])
-    stored_as = "<u2" if largest < 1 << 16 else "<u4"
-    text = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    coded = text.mapInArrow(_encoder(spark.sparkContext.broadcast(vocabulary), end_id, stored_as), _ENCODED)
-    coded = stored(coded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    tasks = -(-(coded.agg(F.sum("n_tokens")).first()[0] or 0) // TASK_TOKENS)
-    order = (F.col("id").cast(docs.schema[id_col].dataType), "crc", "row")
-    rows = coded.repartitionByRange(max(1, tasks), *order).sortWithinPartitions(*order).select("id", "ids")
-    files = stored(rows.mapInArrow(_writer(folder, stored_as), _FILES), "token-manifest")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Rows that are alike in all are still dealt over tasks.
+    order = (F.col("id"), F.col("tie"), F.col("row"))
+    rows = rows.withColumns({"tie": F.crc32(F.encode("text", "UTF-8")), "row": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(1 + size // TASK_BYTES, *order).sortWithinPartitions(*order)
+    rows = rows.select(F.col("id").cast("string").alias("id"), "text")
+    files = stored(rows.mapInArrow(_writer(folder, spark.sparkContext.broadcast(vocabulary), end_id), _FILES), "token-manifest")
     # Starts in two steps, so that no task has more than the files of one writer, or a row for each writer.
     sums = files.groupBy("task").agg(F.sum("n_tokens").alias("in_task"))
     before = F.sum("in_task").over(Window.orderBy("task")) - F.col("in_task")

@@ -162,7 +162,7 @@ def test_query_reads_what_the_library_encodes(spark, library):
 
 
 def test_token_files_of_odd_rows(spark, odd, tmp_path, library, monkeypatch):
-    monkeypatch.setattr(token_files, "TASK_TOKENS", 50)
+    monkeypatch.setattr(token_files, "TASK_BYTES", 200)
     long = spark.createDataFrame([(8, "a long text, " * 100_000, "en", "c", 1)], odd.schema)
     docs = odd.unionByName(long).withColumn("ids", F.lit(1)).withColumn("task", F.lit(2))
     files = write_token_files(docs, str(tmp_path / "files"), VOCABULARY)
