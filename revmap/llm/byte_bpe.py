@@ -10,6 +10,9 @@ once, the row is compacted, and rows without a pair left leave the matrix.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
+import gc
 import re
 import sys
 import uuid
@@ -49,6 +52,12 @@ def read_ranks(path: str) -> bytes:
     return data
 
 
+def read_tokens(data: bytes) -> dict[int, bytes]:
+    """The bytes of each id of a rank file."""
+    lines = (line.split() for line in data.split(b"\n") if line)
+    return {int(rank): base64.b64decode(token) for token, rank in lines}
+
+
 class PairTable:
     """Rank of a pair of token ids, by open addressing."""
 
@@ -89,11 +98,7 @@ class Codec:
     """Encodes and decodes with the ranks of one file."""
 
     def __init__(self, data: bytes, pattern: str):
-        self.tokens: dict[int, bytes] = {}
-        for line in data.split(b"\n"):
-            if line:
-                token, rank = line.split()
-                self.tokens[int(rank)] = base64.b64decode(token)
+        self.tokens = read_tokens(data)
         ids = {token: rank for rank, token in self.tokens.items()}
         self._byte = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         pairs = [
@@ -203,6 +208,9 @@ class Codec:
         self.learn(set(chain.from_iterable(split)))
         return split
 
+    def forget(self) -> None:
+        self._pieces.clear()
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         get = self._pieces.__getitem__
         return [list(chain.from_iterable(map(get, pieces))) for pieces in self._split(texts)]
@@ -247,7 +255,18 @@ def _codec(ranks: Broadcast, pattern: str) -> Codec:
     return _codecs[name]
 
 
-def _encode(ranks: Broadcast, pattern: str, text_col: str, names: list[str], ids_col: str):
+def _released(codec: Codec) -> None:
+    """What a task has learnt goes with it: the worker stays, and other work needs the memory."""
+    codec.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def _encode(ranks: Broadcast, pattern: str, text_col: str, names: list[str], ids_col: str, bytes_col: str | None = None):
+    """Ids of the texts; with ``bytes_col`` also what they decode to, in the same worker."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
         for batch in batches:
@@ -260,20 +279,24 @@ def _encode(ranks: Broadcast, pattern: str, text_col: str, names: list[str], ids
                 offsets = np.zeros(len(encoded) + 1, np.int32)
                 np.cumsum([len(x) for x in encoded], out=offsets[1:])
                 values = np.fromiter(chain.from_iterable(encoded), np.int32, int(offsets[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), ids], [*names, ids_col])
+                columns, added = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [ids_col]
+                if bytes_col is not None:
+                    columns.append(pa.array([codec.decode(x) for x in encoded], pa.binary()))
+                    added.append(bytes_col)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *columns], [*names, *added])
                 at = end
+        _released(codec)
 
     return run
 
 
-def _decode(ranks: Broadcast, pattern: str, ids_col: str, names: list[str], bytes_col: str):
+def _decode(ranks: Broadcast, ids_col: str, names: list[str], bytes_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(ranks, pattern)
+        tokens = read_tokens(ranks.value[1])
         for batch in batches:
             lists = batch.column(ids_col)
             values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
-            data = [codec.decode(values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            data = [b"".join(map(tokens.__getitem__, values[a:b].tolist())) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(data, pa.binary())], [*names, bytes_col])
 
     return run
@@ -290,6 +313,7 @@ def _count(ranks: Broadcast, pattern: str, text_col: str, names: list[str], coun
                 counts += codec.count([t or "" for t in batch.column(text_col).slice(at, end - at).to_pylist()])
                 at = end
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(counts, pa.int64())], [*names, count_col])
+        _released(codec)
 
     return run
 
@@ -304,31 +328,36 @@ class Tokenizer:
     def encode(self, df: DataFrame, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
         """Add ``ids_col``, the token ids of the whole text; a null text has none.
         Matches of the pattern are encoded apart, strings of special tokens are
-        ordinary text. A column of that name is replaced."""
-        return self._map(df, ids_col, T.ArrayType(T.IntegerType()), lambda names: _encode(self._ranks, self._pattern, text_col, names, ids_col))
+        ordinary text. A column of that name is replaced. Rows that repeat are each
+        encoded; an empty table stays empty."""
+        return self._map(df, {ids_col: T.ArrayType(T.IntegerType())}, lambda names: _encode(self._ranks, self._pattern, text_col, names, ids_col))
+
+    def round_trip(self, df: DataFrame, *, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+        """:meth:`encode` and :meth:`decode` in one pass over the texts."""
+        kinds = {ids_col: T.ArrayType(T.IntegerType()), bytes_col: T.BinaryType()}
+        return self._map(df, kinds, lambda names: _encode(self._ranks, self._pattern, text_col, names, ids_col, bytes_col))
 
     def decode(self, df: DataFrame, *, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
         """Add ``bytes_col``, the bytes that ids stand for. They are UTF-8 if the ids
         come from a text; a cut list of ids may end within a character. Null ids
         have no bytes; an id outside the vocabulary is an error."""
         known = df.withColumn(ids_col, F.coalesce(ids_col, F.expr("cast(array() AS array<int>)")))
-        return self._map(known, bytes_col, T.BinaryType(), lambda names: _decode(self._ranks, self._pattern, ids_col, names, bytes_col))
+        return self._map(known, {bytes_col: T.BinaryType()}, lambda names: _decode(self._ranks, ids_col, names, bytes_col))
 
     def count(self, df: DataFrame, *, text_col: str = "text", count_col: str = "n_tokens") -> DataFrame:
         """Add ``count_col``, the number of ids that :meth:`encode` would give."""
-        return self._map(df, count_col, T.LongType(), lambda names: _count(self._ranks, self._pattern, text_col, names, count_col))
+        return self._map(df, {count_col: T.LongType()}, lambda names: _count(self._ranks, self._pattern, text_col, names, count_col))
 
-    def _map(self, df: DataFrame, added: str, kind: T.DataType, function) -> DataFrame:
-        names = [c for c in df.columns if c != added]
+    def _map(self, df: DataFrame, added: dict[str, T.DataType], function) -> DataFrame:
+        names = [c for c in df.columns if c not in added]
         df = df.select(*(f"`{c}`" for c in names))
-        return df.mapInArrow(function(names), T.StructType([*df.schema.fields, T.StructField(added, kind)]))
+        return df.mapInArrow(function(names), T.StructType([*df.schema.fields, *(T.StructField(c, kind) for c, kind in added.items())]))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to."""
     tokenizer = Tokenizer(spark, public_tokenizers.path(VOCABULARY))
-    encoded = tokenizer.encode(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "ids")
-    decoded = tokenizer.decode(encoded)
+    decoded = tokenizer.round_trip(documents(spark, sf_dir).select("doc_id", "text"))
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
