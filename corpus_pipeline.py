@@ -55,9 +55,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
+    """Token ids of each document, and whether they decode to its text; rows that
+    repeat are each encoded, an empty table stays empty."""
     tokenizer = Tokenizer(spark, public_tokenizers.path(VOCABULARY))
-    decoded = tokenizer.decode(tokenizer.encode(docs, ids_col="ids"), bytes_col="_decoded")
+    decoded = tokenizer.round_trip(docs, bytes_col="_decoded")
     same = F.col("_decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return decoded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
