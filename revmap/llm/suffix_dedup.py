@@ -1,20 +1,24 @@
-"""Repeated byte strings, by fingerprint groups of partitioned suffixes.
+"""Repeated byte strings, by longest previous factors of partitioned suffixes.
 
 A string of ``window`` bytes is a later copy if its longest previous factor is as
-long as the window. Only that is asked, so no suffix order and no match lengths are
-made: suffixes are grouped by a 64-bit hash of their first ``window`` bytes, and all
-but the first of a group are copies. Equal hashes are taken for equal bytes and not
-verified. The suffixes are dealt out so that those which share ``window`` bytes meet:
+long as the window: put suffixes in the order of their first ``window`` bytes, and
+among equal ones of their positions; the entry before with a smaller position then
+has the longest match that starts earlier, and the bytes that neighbours have in
+common say how long it is. Suffixes are dealt out so that those which share
+``window`` bytes meet:
 
 1. Each suffix belongs to the anchor of its first ``window`` bytes, their least
    k-gram by hash. Neighbours with one anchor form a run, one row, cut by content
    on both sides. Runs whose anchor occurs once cannot match anything and go.
-2. Of equal runs, which copied text consists of, all but those in the smallest
-   document are later copies at once. Copies within a document are found there.
+2. Of equal runs (128 bits of hashes), which copied text consists of, all but those
+   in the smallest document are later copies at once. Copies within a document are
+   found there.
 3. For anchors with several different runs, one copy of each goes with its bytes to
-   a group of anchors, where the suffixes are grouped by their fingerprints and
-   all but the first of each are later copies. Suffixes of anchors with very
-   many runs are dealt out one by one instead, by their first ``window`` bytes.
+   a group of anchors, where its suffixes are ordered and compared by their bytes.
+
+Hashes only part what cannot match from what is compared. An anchor with more than
+HOT different runs is dealt to several groups; suffixes that are first in theirs are
+then packed by 128 bits of hashes of their bytes and compared once more.
 """
 
 from __future__ import annotations
@@ -33,8 +37,10 @@ from revmap.llm.store import documents, stored, tag, tagged
 from revmap.llm.substring_dedup import merge_spans
 
 WINDOW, ANCHOR = 100, 20
-#: Runs in a group of anchors, about; an anchor in more rows than HOT is dealt to several groups.
-GROUP_RUNS, HOT = 8_000, 1_000
+#: Runs in a group of anchors, about; an anchor with more different runs than HOT is dealt to several groups.
+GROUP_RUNS, HOT = 8_000, 50_000
+#: Suffixes that are put in order at once, in bytes.
+ORDER_BYTES = 64 << 20
 
 _RUN = "within boolean, route bigint, known boolean, anchor bigint, path bigint, start int, n int"
 
@@ -67,7 +73,10 @@ def _runs(window: int, k: int):
                 found.append((first + text, start, n, least, covered))
                 for t in seq.repeating_texts(symbols, at, window, k).tolist():
                     hashes = seq.Hasher(symbols[at[t] : at[t + 1]]).windows(window)
-                    begin, end = _stretches(_spread(hashes)[0])
+                    some = np.flatnonzero(_spread(hashes)[1])
+                    again = np.zeros(len(hashes), bool)
+                    again[some] = longest_previous_factors(part, at[t] + some, hashes[some], some, window) == window
+                    begin, end = _stretches(again)
                     own.append((np.full(len(begin), first + t), begin, end - begin))
             if not found:
                 continue
@@ -128,28 +137,58 @@ def _opened(window: int):
     return run
 
 
-def longest_previous_factors(prefix: np.ndarray, position: np.ndarray, depth: int) -> np.ndarray:
-    """``depth`` for each suffix that shares ``depth`` symbols with one at a smaller position, else 0.
+def longest_previous_factors(data: np.ndarray, start: np.ndarray, prefix: np.ndarray, position: np.ndarray, depth: int) -> np.ndarray:
+    """How many bytes, up to ``depth``, each suffix shares with the entry of a smaller
+    position before it in suffix order; 0 for the first of a match.
 
-    ``prefix`` is the fingerprint of these symbols. Entries are sorted by it and by
-    position; there is no suffix order, and no match below the depth is measured.
+    Suffixes are taken from ``start`` in ``data``, in blocks by ``prefix``, a hash of
+    their first ``depth`` bytes: others cannot share all of these. Within equal bytes the
+    order is by position, so the previous smaller position is the nearest entry before
+    of another position, and the next smaller one never shares more.
     """
-    order = np.lexsort((position, prefix))
-    p, at = prefix[order], position[order]
-    lcp = np.zeros(len(order), np.int64)
-    lcp[1:] = np.where(p[1:] == p[:-1], depth, 0)
-    # Entries at one position are no match for each other: they take that of the first of them.
-    stretch = np.concatenate([[True], lcp[1:] == 0])[: len(order)]
-    head = np.maximum.accumulate(np.where(stretch, np.arange(len(order)), 0))
-    found = np.zeros(len(order), np.int64)
-    found[order] = np.where(at > at[head], depth, 0) if len(order) else 0
+    found = np.zeros(len(start), np.int64)
+    blocked = np.argsort(prefix, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], prefix[blocked][1:] != prefix[blocked][:-1]])) if len(blocked) else blocked
+    at, limit = 0, max(1, ORDER_BYTES // depth)
+    while at < len(blocked):
+        # Whole groups of equal hashes, about a limit of suffixes.
+        k = int(np.searchsorted(edges, at + limit, "right"))
+        end = int(edges[k]) if k < len(edges) else len(blocked)
+        if k and int(edges[k - 1]) > at:
+            end = int(edges[k - 1])
+        some = blocked[at:end]
+        rows = data[start[some][:, None] + np.arange(depth)]
+        some, rows = some[order := np.argsort(position[some], kind="stable")], rows[order]
+        order = np.argsort(np.ascontiguousarray(rows).view(f"S{depth}").ravel(), kind="stable")
+        some, rows = some[order], rows[order]
+        differ = rows[1:] != rows[:-1]
+        lcp = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), depth)])
+        # The first entry of each stretch of equal bytes, and of each position within it.
+        index, p = np.arange(len(some)), position[some]
+        head = np.maximum.accumulate(np.where(lcp < depth, index, 0))
+        found[some] = np.where(p > p[head], depth, 0)
+        at = end
     return found
 
 
-def _factors(window: int):
+def _pack(columns: dict[str, pa.Array], bucket: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Rows as one piece of bytes for each bucket."""
+    table, order = pa.table(columns), np.argsort(bucket, kind="stable")
+    table, (found, first) = table.take(pa.array(order)), np.unique(bucket[order], return_index=True)
+    pieces = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.slice(a, b - a))
+        pieces.append(sink.getvalue().to_pybytes())
+    return found, pieces
+
+
+def _factors(window: int, buckets: int):
     """Later copies among the runs of a group as spans of bytes. Of hot anchors, a
     group has only a part, so for them also the suffixes that are first in it, with
-    the hash of their first ``window`` bytes, to be compared with other groups'."""
+    two hashes of their first ``window`` bytes, packed by the first, to be compared
+    with other groups'."""
 
     def run(rows: pa.Table) -> pa.Table:
         data, places = seq.buffers(rows["bytes"])
@@ -157,8 +196,11 @@ def _factors(window: int):
         n = np.diff(places) - window + 1
         row = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        prefix = seq.Hasher(seq.BYTE_SYMBOL[data]).stretches(places[row] + step, places[row] + step + window)
-        later = longest_previous_factors(prefix, ids[row], window) >= window
+        begins = places[row] + step
+        prefix = seq.Hasher(seq.BYTE_SYMBOL[data]).stretches(begins, begins + window)
+        some = np.flatnonzero(_spread(prefix)[1])
+        later = np.zeros(len(row), bool)
+        later[some] = longest_previous_factors(data, begins[some], prefix[some], ids[row[some]], window) == window
         # Neighbouring suffixes of one run make one span; a gap parts the runs.
         flags = np.zeros(len(row) + len(n), bool)
         flags[np.arange(len(row)) + row] = later
@@ -168,18 +210,58 @@ def _factors(window: int):
         first = reach[owner] - (n[owner] + 1)
         start = rows["start"].to_numpy()
         open_ = np.flatnonzero(rows["hot"].to_numpy()[row] & ~later)
-        which = pa.array(np.concatenate([owner, row[open_]]))
-        single = start[row[open_]] + step[open_]
+        found, pieces = np.zeros(0, np.int64), []
+        if len(open_):
+            other = seq.Hasher(seq.mix(seq.BYTE_SYMBOL)[data]).stretches(begins[open_], begins[open_] + window)
+            columns = {
+                "id": rows["id"].take(pa.array(row[open_])),
+                "tag": rows["tag"].take(pa.array(row[open_])),
+                "start": pa.array((start[row[open_]] + step[open_]).astype(np.int32)),
+                "prefix": pa.array(prefix[open_]),
+                "other": pa.array(other),
+            }
+            found, pieces = _pack(columns, (prefix[open_] % np.uint64(buckets)).astype(np.int64))
+        none = lambda kind: pa.nulls(len(found), kind)
+        spans = [
+            rows["id"].combine_chunks().take(pa.array(owner)),
+            rows["tag"].combine_chunks().take(pa.array(owner)),
+            pa.array((start[owner] + begin - first).astype(np.int32)),
+            pa.array((start[owner] + end - first + window - 1).astype(np.int32)),
+        ]
+        columns = [pa.concat_arrays([c, none(c.type)]) for c in spans]
+        columns.append(pa.concat_arrays([pa.nulls(len(owner), pa.int64()), pa.array(found, pa.int64())]))
+        columns.append(pa.concat_arrays([pa.nulls(len(owner), pa.binary()), pa.array(pieces, pa.binary())]))
+        return pa.table(columns, names=["id", "tag", "start", "end", "bucket", "packed"])
+
+    return run
+
+
+def _first_of_all(window: int):
+    """Spans of the packed suffixes of a bucket that another document has before."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        table = pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in rows["packed"]]).combine_chunks()
+        ids = np.unique(np.array(table["id"].to_pylist()), return_inverse=True)[1]
+        prefix, other = table["prefix"].to_numpy(), table["other"].to_numpy()
+        order = np.lexsort((ids, other, prefix))
+        new = np.ones(len(order), bool)
+        new[1:] = (prefix[order][1:] != prefix[order][:-1]) | (other[order][1:] != other[order][:-1])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        later = order[ids[order] > ids[order][head]]
+        start, tags = table["start"].to_numpy(), table["tag"].to_numpy()
+        later = later[np.lexsort((start[later], tags[later], ids[later]))]
+        fresh = np.ones(len(later), bool)
+        a, b = later[1:], later[:-1]
+        fresh[1:] = (ids[a] != ids[b]) | (tags[a] != tags[b]) | (start[a] > start[b] + window)
+        begin = np.flatnonzero(fresh)
+        last = np.concatenate([begin[1:], [len(later)]])[: len(begin)] - 1
+        which = pa.array(later[begin])
         return pa.table(
             {
-                "id": rows["id"].take(which),
-                "tag": rows["tag"].take(which),
-                "start": pa.array(np.concatenate([start[owner] + begin - first, single]).astype(np.int32)),
-                "end": pa.array(np.concatenate([start[owner] + end - first + window - 1, single + window]).astype(np.int32)),
-                "prefix": pa.array(
-                    np.concatenate([np.zeros(len(owner), np.int64), prefix[open_].view(np.int64)]),
-                    mask=np.arange(len(owner) + len(open_)) < len(owner),
-                ),
+                "id": table["id"].take(which),
+                "tag": table["tag"].take(which),
+                "start": table["start"].take(which),
+                "end": pa.array((start[later[last]] + window).astype(np.int32)),
             }
         )
 
@@ -260,15 +342,12 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     groups = max(1, opened.count() // GROUP_RUNS)
     dealt = F.pmod(F.when(F.col("hot"), F.xxhash64("anchor", "id")).otherwise(F.xxhash64("anchor")), F.lit(groups))
     factors = opened.withColumn("group", dealt).groupBy("group").applyInArrow(
-        _factors(window), f"{keyed}, start int, end int, prefix bigint"
+        _factors(window, groups), f"{keyed}, start int, end int, bucket bigint, packed binary"
     )
     factors = stored(factors, "factors")
-    in_groups, warm = factors.where("prefix IS NULL").drop("prefix"), factors.where("prefix IS NOT NULL")
-    earliest = stored(
-        warm.groupBy("prefix").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("prefix", "first"),
-        "earliest",
-    )
-    by_suffix = warm.join(earliest, "prefix").where("id > first").select("id", "tag", "start", "end")
+    in_groups = factors.where("packed IS NULL").select("id", "tag", "start", "end")
+    warm = factors.where("packed IS NOT NULL").select("bucket", "packed")
+    by_suffix = warm.groupBy("bucket").applyInArrow(_first_of_all(window), f"{keyed}, start int, end int")
     removed = (
         later.unionByName(within).unionByName(in_groups).unionByName(by_suffix)
         .groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag"))

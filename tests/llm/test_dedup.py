@@ -12,7 +12,7 @@ from revmap.llm import minhash_dedup, suffix_dedup
 from revmap.llm.components import components
 from revmap.llm.minhash_dedup import near_duplicates
 from revmap.llm.substring_dedup import remove_repeats
-from revmap.llm.suffix_dedup import longest_previous_factors, remove_repeated_bytes
+from revmap.llm.suffix_dedup import remove_repeated_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,11 +86,40 @@ def test_bytes_against_brute_force(make, repeats, monkeypatch, hot):
         assert got[i].n_bytes - got[i].n_removed == len(left)
 
 
-def test_longest_previous_factors():
+@pytest.mark.parametrize("collide", [False, True])
+@pytest.mark.parametrize("room", [64 << 20, 40])
+def test_longest_previous_factors(monkeypatch, collide, room):
+    """Against all earlier places; equal hashes of other bytes change nothing."""
     import numpy as np
 
-    found = longest_previous_factors(np.array([5, 9, 5, 5, 9], np.uint64), np.array([3, 1, 1, 1, 0]), 100)
-    assert found.tolist() == [100, 100, 0, 0, 0]
+    monkeypatch.setattr(suffix_dedup, "ORDER_BYTES", room)
+    rng, depth = np.random.default_rng(2), 4
+    for _ in range(30):
+        data = rng.integers(0, 3, 60).astype(np.uint8)
+        start = rng.permutation(57)[:50]
+        position = rng.integers(0, 9, 50)
+        text = [data[s : s + depth].tobytes() for s in start]
+        prefix = np.array([0 if collide else hash(t) % 2**63 for t in text], np.uint64)
+        found = suffix_dedup.longest_previous_factors(data, start, prefix, position, depth)
+        wanted = [depth * any(t == u and q < p for u, q in zip(text, position, strict=True)) for t, p in zip(text, position, strict=True)]
+        assert found.tolist() == wanted
+    assert not len(suffix_dedup.longest_previous_factors(data, start[:0], prefix[:0], position[:0], depth))
+
+
+def test_query_against_brute_force(spark):
+    """The five columns over the whole table."""
+    rows = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    seen, wanted = set(), {}
+    for i in sorted(rows):
+        data, gone = rows[i], bytearray(len(rows[i]))
+        for p in range(len(data) - 99):
+            if (s := data[p : p + 100]) in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(s)
+        left = bytes(b for b, g in zip(data, gone, strict=True) if not g)
+        wanted[i] = (len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(left).hexdigest())
+    got = suffix_dedup.op9_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == wanted
 
 
 def brute_components(rows, threshold=75, k=5):
