@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revmap.functions.dates import as_date, run_stamp
@@ -112,6 +112,18 @@ def account_metadata(df: DataFrame, code_length: int = 10) -> DataFrame:
     )
 
 
+def periods_by_month(periods: DataFrame, since: Column, until: Column, *, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
+    """Each period once for every month it touches between two dates, as
+    ``period_month``; an open end lasts to ``until``. A day lies in one month, so a fact
+    joined on its month meets a period at most once. Periods without a start, and those
+    that end before they start, have no month."""
+    first = F.trunc(F.greatest(F.col(start), since), "MM")
+    last = F.least(F.coalesce(F.col(end), until), until)
+    begun = F.col(start).isNotNull() & since.isNotNull() & (F.col(start) <= last) & (first <= last)
+    months = F.sequence(first, F.trunc(last, "MM"), F.expr("INTERVAL 1 MONTH"))
+    return periods.withColumn("period_month", F.explode(F.when(begun, months)))
+
+
 def effective_join(
     facts: DataFrame,
     accounts: DataFrame,
@@ -127,9 +139,11 @@ def effective_join(
 
     An account row is in force from ``effective_from`` on; ``effective_to``
     counts only with ``use_effective_to`` (NULL is open), so by default a fact
-    meets every period that began before it. Accounts are few and facts pile up
-    on them: accounts and contracts are joined first, so that the facts are moved
-    once if at all, and adaptive execution broadcasts or splits the rest."""
+    meets every period that began before it. With it, periods are laid out by month
+    and facts meet only those of their own month, so the pairs that are tested are in
+    proportion to those that match however many periods an account has. Accounts are
+    few and facts pile up on them: accounts and contracts are joined first, so that the
+    facts are moved once if at all, and adaptive execution broadcasts or splits the rest."""
     dim = accounts.select(
         F.col("account_id").alias("dim_account_id"),
         "product_line_id",
@@ -145,6 +159,10 @@ def effective_join(
     signed = contracts.select(F.col("bi_account_id").alias("contract_account_id"), "contract_id")
     closed = facts.where(F.col("data_date") <= F.date_sub(as_date(as_of), 1))
     signed_accounts = lookup_join(dim, signed, "bi_account_id", "contract_account_id", "inner")
+    if use_effective_to:
+        first = closed.agg(F.min("data_date")).scalar()
+        signed_accounts = periods_by_month(signed_accounts, first, F.date_sub(as_date(as_of), 1))
+        in_force = in_force & (F.trunc("data_date", "MM") == F.col("period_month"))
     matched = lookup_join(closed, signed_accounts, "account_id", "dim_account_id", "inner", in_force)
     return matched.select(
         F.col("data_date").alias("data_ts"),

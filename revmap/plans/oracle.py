@@ -380,6 +380,17 @@ ORACLE["recon_diff_range"] = (
     _compare("dev", "prod", "data_month > DATE '1997-01-01' AND data_month < DATE '1997-06-01'") + _DIFFERENT
 )
 ORACLE["recon_diff_identity"] = _compare("rev", "rev") + _DIFFERENT
+ORACLE["recon_diff_blocks"] = ORACLE["recon_diff"]
+_COMPARED = ", ".join([*KEYS, *MEASURES])
+ORACLE["recon_changed_months"] = _with(REV, _PROD, _DEV) + f"""
+, changed AS (
+  (SELECT {_COMPARED} FROM dev EXCEPT ALL SELECT {_COMPARED} FROM prod)
+  UNION ALL (SELECT {_COMPARED} FROM prod EXCEPT ALL SELECT {_COMPARED} FROM dev)),
+counted AS (
+  SELECT data_month, count(*) FILTER (side = 1) AS dev_rows, count(*) FILTER (side = 2) AS prod_rows
+  FROM (SELECT data_month, 1 AS side FROM dev UNION ALL SELECT data_month, 2 FROM prod) GROUP BY data_month)
+SELECT data_month AS block_month, dev_rows, prod_rows FROM counted
+WHERE data_month IN (SELECT data_month FROM changed)"""
 ORACLE["recon_counts"] = _compare("dev", "prod") + """
 SELECT count(*) AS keys_compared, count(*) FILTER (NOT prod_records_present) AS dev_only,
        count(*) FILTER (NOT dev_records_present) AS prod_only,

@@ -255,6 +255,18 @@ def recon_counts(spark, sf):
     return recon.diff_counts(v.dev(spark, sf), v.prod(spark, sf))
 
 
+@query
+def recon_diff_blocks(spark, sf):
+    """The same as recon_diff, with sums over the blocks only that differ."""
+    return recon.diff_blocks(v.dev(spark, sf), v.prod(spark, sf))
+
+
+@query
+def recon_changed_months(spark, sf):
+    """The months in which the rows differ, in blocks of a whole month."""
+    return recon.changed_blocks(v.dev(spark, sf), v.prod(spark, sf), buckets=1).drop("block_bucket")
+
+
 @query
 def contract_rows(spark, sf):
     return recon.contract_rows(v.revenue(spark, sf), 210, "1997-04-01", "1997-06-01")

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from revmap.operators import recon
 from revmap.operators import rebuild as rb
@@ -59,6 +60,45 @@ def test_diff_edges(side, rows, method):
     assert tuple(counts) == (8, 1, 1, 2, 4)
 
 
+def _months(spark, n, per_month=400):
+    return spark.range(0, n * per_month, 1, 6).selectExpr(
+        "concat('i', id) AS id", f"add_months(DATE '2024-01-01', CAST(id DIV {per_month} AS INT)) AS data_month",
+        "IF(id % 9 = 0, NULL, 'f') AS feed", "CAST(id % 17 AS DECIMAL(18,4)) AS x", "IF(id % 5 = 0, NULL, CAST(id AS DECIMAL(18,4))) AS y",
+    )
+
+
+def test_only_changed_blocks_are_summed(spark, rows):
+    dev = _months(spark, 12)
+    # One value, one row missing, one row more, a split row, and a change within the tolerance.
+    prod = dev.where("id <> 'i900'").withColumn("x", F.expr("IF(id = 'i17', x + 1, IF(id = 'i4000', x + 0.005, x))"))
+    prod = prod.unionByName(spark.sql("SELECT 'new' AS id, DATE '2024-08-01' AS data_month, CAST(NULL AS STRING) AS feed, 1.0 AS x, 2.0 AS y"))
+    half = prod.where("id = 'i1250'").withColumns({"x": F.col("x") / 2, "y": F.col("y") / 2})
+    prod = prod.where("id <> 'i1250'").unionByName(half).unionByName(half)
+    whole = recon.diff(dev, prod, KEYS, MEASURES)
+    assert whole.count() == 3
+    for buckets in (1, 64):
+        assert rows(recon.diff_blocks(dev, prod, KEYS, MEASURES, buckets=buckets)) == rows(whole)
+    blocks = recon.changed_blocks(dev, prod, KEYS, MEASURES, buckets=64)
+    assert blocks.count() == 5 and blocks.agg(F.sum("dev_rows")).first()[0] <= 5 * 30
+    # Rows that reach the wide aggregate: those of five blocks of 12 x 64, not all 9,600.
+    reached = []
+    real = recon.diff
+    recon.diff = lambda a, b, *args, **kw: reached.append(a.count() + b.count()) or real(a, b, *args, **kw)
+    try:
+        recon.diff_blocks(dev, prod, KEYS, MEASURES, buckets=64)
+    finally:
+        recon.diff = real
+    assert 5 <= reached[0] <= 150
+    assert recon.changed_blocks(dev, dev.repartition(3), KEYS, MEASURES).count() == 0
+    assert recon.diff_blocks(dev, dev.limit(0), KEYS, MEASURES).count() == 4800
+
+
+def test_blocks_of_rows_without_keys(side, rows):
+    dev = side((None, None, None, "5", None), ("a", None, "f", "1", "1"), ("a", DAY, "f", "1", "1"), ("a", DAY, "f", "1", "1"))
+    prod = side(("N/A", None, "N/A", "5", None), ("a", None, "f", "2", "1"), ("a", DAY, "f", "1", "1"))
+    assert rows(recon.diff_blocks(dev, prod, KEYS, MEASURES, buckets=8)) == rows(recon.diff(dev, prod, KEYS, MEASURES))
+
+
 def test_nothing_compared_is_visible(side):
     empty = side()
     assert recon.diff(empty, empty, KEYS, MEASURES).count() == 0
@@ -163,3 +203,39 @@ def test_effective_dating(spark, rows):
     closed = rb.effective_join(facts, accounts, contracts, use_effective_to=True, **how)
     assert closed.groupBy("product_line_id").count().orderBy("product_line_id").collect() == [("p", 10), ("q", 10)]
     assert len(got.columns) == 15
+
+
+def test_periods_by_month_meet_each_fact_once(spark, rows):
+    """An account with a period of 20 days after another for 40 years, overlapping by five."""
+    facts = spark.sql(
+        "SELECT 'a' AS account_id, explode(sequence(DATE'2000-01-01', DATE'2004-12-31')) AS data_date, 1D AS revenue, 1L AS conversions"
+    )
+    spans = spark.range(730).selectExpr(
+        "'a' AS account_id", "concat('p', id) AS product_line_id", "1 AS bi_account_id", "1 AS network_name_id", "'USD' AS currency_code",
+        "date_add(DATE'1990-01-01', CAST(20 * id AS INT)) AS effective_from", "date_add(DATE'1990-01-01', CAST(20 * id + 24 AS INT)) AS effective_to",
+    )
+    odd = spark.sql(
+        """SELECT * FROM VALUES ('a', 'open', 1, 1, 'USD', DATE'2004-12-30', NULL), ('a', 'turned', 1, 1, 'USD', DATE'2010-05-09', DATE'2010-05-01'),
+           ('a', 'none', 1, 1, 'USD', NULL, DATE'2010-05-01'), ('a', 'old', 1, 1, 'USD', DATE'0001-01-01', DATE'2000-01-02'),
+           ('a', 'later', 1, 1, 'USD', DATE'2031-01-01', NULL), ('b', 'other', 1, 1, 'USD', DATE'2000-01-01', NULL)"""
+    ).toDF(*spans.columns)
+    accounts = spans.unionByName(odd)
+    contracts = spark.sql("SELECT 1 AS bi_account_id, 210 AS contract_id")
+    joined = rb.effective_join(facts, accounts, contracts, as_of="2004-12-31", aggregation_source="m", run_ts="2025-02-01 00:00:00", use_effective_to=True)
+    got = rows(joined.select("data_ts", "product_line_id"))
+    wanted = [
+        (f.data_date, p.product_line_id)
+        for f in facts.collect()
+        for p in accounts.collect()
+        if p.account_id == "a" and f.data_date < dt.date(2004, 12, 31) and p.effective_from and p.effective_from <= f.data_date
+        and (p.effective_to is None or f.data_date <= p.effective_to)
+    ]
+    assert got == sorted(wanted, key=repr)
+    # Pairs before the range test: periods of the fact's month, not all 730 and more.
+    first, last = F.lit(dt.date(2000, 1, 1)), F.lit(dt.date(2004, 12, 30))
+    laid = rb.periods_by_month(accounts.where("account_id = 'a'"), first, last)
+    pairs = facts.where("data_date < DATE'2004-12-31'").join(laid.drop("account_id"), F.trunc("data_date", "MM") == F.col("period_month")).count()
+    assert len(wanted) <= pairs <= 3 * len(wanted)
+    assert "trunc(data_date" in joined._jdf.queryExecution().executedPlan().toString()
+    none = rb.effective_join(facts.limit(0), accounts, contracts, as_of="2004-12-31", aggregation_source="m", use_effective_to=True)
+    assert none.count() == 0
