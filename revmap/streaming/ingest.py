@@ -16,6 +16,7 @@ from revmap.functions.columns import null_tokens
 from revmap.operators.gates import GateError, gate_import
 from revmap.schemas import CSV_OPTS, MAPPING, MAPPING_COLS
 from revmap.sources.files import list_files
+from revmap.sources.tables import clear
 
 NO_NEW_FILES = "no new files"
 _LEDGER = "arrival bigint, batch bigint, ok boolean, message string"
@@ -65,10 +66,15 @@ def ingest_new_files(
 
     An arrival that passes the import gate is written to a folder of its own in
     ``target``; one that fails goes to ``<target>-rejected`` and the next call goes
-    on. ``<target>-arrivals`` lists the batches of each with the gate's message. A
-    call that breaks off is taken up by the next: batches are staged under their
-    number and an arrival is named by its first batch, so what is repeated replaces
-    itself. The checkpoint remembers the files; a corrected file needs a new name."""
+    on. ``<target>-arrivals`` lists the batches of each with the gate's message. The
+    checkpoint remembers the files; a corrected file needs a new name.
+
+    ``<target>-staged`` holds the batches that are not recorded yet, and is given up
+    once they are: what a call reads does not grow with the calls before it. A call
+    that breaks off is taken up by the next: batches are staged under their number and
+    an arrival is named by its first batch, so what is repeated replaces itself, and
+    an arrival that was recorded before its batches were given up is not loaded again.
+    The files of one arrival, however small, are written together."""
     target, staged = target.rstrip("/"), f"{target.rstrip('/')}-staged"
 
     def stage(batch: DataFrame, batch_id: int) -> None:
@@ -82,11 +88,7 @@ def ingest_new_files(
         .start()
         .awaitTermination()
     )
-    number = F.regexp_extract("path", r"/batch=(\d+)/", 1).cast("bigint")
-    there = list_files(spark, staged, glob="*.parquet").select(number.alias("batch")).distinct()
-    new = there.join(arrivals(spark, target).select("batch"), "batch", "left_anti")
-    # The batches of this arrival only.
-    batches = sorted(row.batch for row in new.collect())
+    batches = _outstanding(spark, target)
     if not batches:
         return Arrival(True, NO_NEW_FILES)
     rows = spark.read.schema(MAPPING).parquet(*[f"{staged}/batch={b}" for b in batches])
@@ -94,12 +96,33 @@ def ingest_new_files(
         result = Arrival(True, gate_import(rows, strict=strict).message, batches[0])
     except GateError as error:
         result = Arrival(False, str(error), batches[0])
-    rows.write.mode("overwrite").parquet(f"{target if result.ok else target + '-rejected'}/arrival={batches[0]}")
+    folder = f"arrival={batches[0]}"
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{target if result.ok else target + '-rejected'}/{folder}")
     done = spark.createDataFrame([(batches[0], b, result.ok, result.message) for b in batches], _LEDGER)
-    done.write.mode("append").parquet(f"{target}-arrivals")
+    done.drop("arrival").coalesce(1).write.mode("overwrite").parquet(f"{target}-arrivals/{folder}")
+    clear(spark, staged)
     return result
 
 
+def _staged_batches(spark: SparkSession, target: str) -> list[int]:
+    number = F.regexp_extract("path", r"/batch=(\d+)/", 1).try_cast("bigint")
+    there = list_files(spark, f"{target}-staged", glob="*.parquet").select(number.alias("batch")).where("batch IS NOT NULL").distinct()
+    return sorted(row.batch for row in there.collect())
+
+
+def _outstanding(spark: SparkSession, target: str) -> list[int]:
+    """The staged batches that no arrival has recorded. Only a call that broke off just
+    before it gave its batches up leaves others, and its arrival is named by the first."""
+    batches = _staged_batches(spark, target)
+    while batches:
+        recorded = _or_empty(spark, f"{target}-arrivals/arrival={batches[0]}", "batch bigint")
+        known = {row.batch for row in recorded.select("batch").collect()}
+        if not known:
+            return batches
+        batches = [b for b in batches if b not in known]
+    return []
+
+
 def _or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
@@ -111,7 +134,7 @@ def _or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def arrivals(spark: SparkSession, target: str) -> DataFrame:
     """The batches of all arrivals so far, whether they were loaded, and the gate's message."""
-    return _or_empty(spark, f"{target.rstrip('/')}-arrivals", _LEDGER)
+    return _or_empty(spark, f"{target.rstrip('/')}-arrivals", _LEDGER).select("arrival", "batch", "ok", "message")
 
 
 def read_ingested(spark: SparkSession, target: str, *, latest_only: bool = False) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from test_files import write  # noqa: F401
 
 from revmap import session, texts
 from revmap.plans import monthly, views
 from revmap.plans.queries import QUERIES
+from revmap.streaming import ingest
 from revmap.streaming.ingest import NO_NEW_FILES, arrivals, ingest_new_files, read_ingested
 
 SF = "/root/testdata/sf0.001"
@@ -57,6 +59,55 @@ def test_an_arrival_that_fails_its_gate_is_set_aside(spark, write, tmp_path, row
     assert rows(arrivals(spark, str(tmp_path / "out")).select("ok")) == [(False,), (False,), (True,)]
 
 
+def _staged_files(tmp_path):
+    return [p for p in (tmp_path / "out-staged").rglob("*.parquet") if "batch=" in str(p)]
+
+
+def test_what_is_recorded_is_no_longer_staged(spark, write, tmp_path, rows, monkeypatch):  # noqa: F811
+    """The files a call looks at are those of its own batches, whatever came before."""
+    for n in range(3):
+        for k in range(2):
+            write(f"in/{n}-{k}.csv", f"i{n}{k},A,1,g,i,9")
+        assert _ingest(spark, tmp_path, max_files=1).ok
+        assert not _staged_files(tmp_path)
+    listed = []
+    real = ingest.list_files
+    monkeypatch.setattr(ingest, "list_files", lambda *a, **kw: listed.append(real(*a, **kw).count()) or real(*a, **kw))
+    write("in/last.csv", "z,A,1,g,i,9")
+    assert _ingest(spark, tmp_path).ok
+    assert listed and max(listed) <= 2
+    assert read_ingested(spark, str(tmp_path / "out")).count() == 7
+    assert rows(arrivals(spark, str(tmp_path / "out")).select("ok")) == [(True,)] * 7
+
+
+@pytest.mark.parametrize("broken", ["rows", "record", "give up"])
+def test_a_call_that_breaks_off_is_taken_up(spark, write, tmp_path, rows, monkeypatch, broken):  # noqa: F811
+    write("in/a.csv", "a,A,1,g,i,9")
+    write("in/b.csv", "b,A,1,g,i,9")
+
+    def fail(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        if broken == "rows":
+            patch.setattr(ingest, "gate_import", fail)
+        elif broken == "record":
+            patch.setattr(ingest, "_LEDGER", "no schema at all")
+        else:
+            patch.setattr(ingest, "clear", fail)
+        with pytest.raises((KeyboardInterrupt, PySparkException)):
+            _ingest(spark, tmp_path, max_files=1)
+    assert _staged_files(tmp_path)
+    write("in/c.csv", "c,A,1,g,i,9")
+    taken = _ingest(spark, tmp_path)
+    assert taken.ok and not _staged_files(tmp_path)
+    assert rows(read_ingested(spark, str(tmp_path / "out")).select("ID")) == [("a",), ("b",), ("c",)]
+    ledger = rows(arrivals(spark, str(tmp_path / "out")).select("arrival", "batch"))
+    assert len(ledger) == len(set(ledger)) == 3
+    assert len({a for a, _ in ledger}) == (2 if broken == "give up" else 1)
+    assert _ingest(spark, tmp_path).message == NO_NEW_FILES
+
+
 @pytest.fixture
 def config(spark, write, tmp_path):  # noqa: F811
     def make(*lines, **kw):
