@@ -397,6 +397,10 @@ SELECT count(*) AS keys_compared, count(*) FILTER (NOT prod_records_present) AS
        count(*) FILTER (dev_records_present AND prod_records_present AND differs) AS changed,
        count(*) FILTER (dev_records_present AND prod_records_present AND NOT differs) AS equal
 FROM judged"""
+ORACLE["approximate_distinct"] = _with(REV) + """
+SELECT count(*) AS n, count(DISTINCT id) AS id_exact, count(DISTINCT contract_id) AS contract_id_exact,
+       true AS id_near, true AS contract_id_near
+FROM rev WHERE data_month >= DATE '1997-01-01' AND data_month < DATE '1997-11-01'"""
 ORACLE["contract_rows"] = _with(REV) + f"""
 SELECT {_doubles()} FROM rev
 WHERE contract_id = '210' AND data_month >= DATE '1997-04-01' AND data_month < DATE '1997-06-01'"""
@@ -557,6 +561,10 @@ FROM f""")
 ORACLE["export_preview"] = _flagged("""
 SELECT DISTINCT row_type, first_row, true AS within_five
 FROM f, (VALUES ('HEADER ROW (if headers exist)', 1), ('DATA ROW', 2)) AS t(row_type, first_row)""")
+ORACLE["export_order"] = """
+SELECT if(o_orderkey % 50 = 0, NULL, 'O' || o_custkey) AS ID,
+       row_number() OVER (ORDER BY if(o_orderkey % 50 = 0, NULL, 'O' || o_custkey) NULLS LAST) AS place FROM orders"""
+ORACLE["header_mismatches_found"] = f"SELECT DISTINCT ON (c_nationkey) '{','.join(MAPPING_COLS[::-1])}' AS found FROM customer"
 ORACLE["header_mismatches"] = _flagged("SELECT CAST(NULL AS VARCHAR) AS found FROM f WHERE false")
 ORACLE["export_files"] = _flagged("SELECT 'revenue_mapped_199801' AS export_name, count(*) AS lines FROM f")
 ORACLE["expired_exports"] = "SELECT true AS all_expire, true AS none_today"

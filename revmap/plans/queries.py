@@ -17,6 +17,7 @@ from revmap.operators import mapping as mp
 from revmap.operators import quality as dq
 from revmap.operators import rebuild as rb
 from revmap.operators import recon
+from revmap.operators import sketches as sk
 from revmap.operators.gates import gate_import, gate_non_empty
 from revmap.plans import monthly
 from revmap.plans import views as v
@@ -277,6 +278,19 @@ def contract_month_rows(spark, sf):
     return recon.contract_rows(v.revenue(spark, sf), 211, month="1997-06-01")
 
 
+@query
+def approximate_distinct(spark, sf):
+    """Distinct IDs and contracts of ten months from stored sketches of each, against exact counts:
+    whether both are within four standard deviations."""
+    columns = ["id", "contract_id"]
+    r = v.revenue(spark, sf)
+    stored = tb.reload_table(sk.monthly_sketches(r, columns), scratch_dir(spark, "sketches"))
+    got = sk.distinct_in_range(stored, columns, "1997-01-01", "1997-11-01")
+    exact = recon.date_range(r, "1997-01-01", "1997-11-01").agg(*[F.count_distinct(c).alias(f"{c}_exact") for c in columns])
+    near = [(F.abs(F.col(f"{c}_distinct") - F.col(f"{c}_exact")) <= 1 + 4 * sk.standard_error() * F.col(f"{c}_exact")).alias(f"{c}_near") for c in columns]
+    return got.crossJoin(exact).select("n", "id_exact", "contract_id_exact", *near)
+
+
 # Rebuilding a revenue source
 def _additional(spark, sf):
     return rb.additional_revenue(v.total_revenue(spark, sf), v.partners_only(spark, sf), v.SINCE, v.MANUAL)
@@ -642,6 +656,30 @@ def export_preview(spark, sf):
     )
 
 
+@query
+def export_order(spark, sf):
+    """The IDs of an export in several files, by their place in all of them: sorted, without an ID last."""
+    root = scratch_dir(spark, "order")
+    docs = v.table(spark, sf, "orders").select(F.expr("IF(o_orderkey % 50 = 0, NULL, concat('O', o_custkey))").alias("ID"), "o_orderkey")
+    path = ex.export_csv(docs, root, PREFIX, as_of=AS_OF, header=False, max_bytes=16 << 10, run_ts=RUN_TS).first().path
+    rows = mc.read_positional(spark, path, 2, names=["ID", "o_orderkey"], multi_line=False)
+    sizes = rows.groupBy("file_name").agg(F.count("*").alias("size"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.file_name") < F.col("a.file_name"), "left")
+    before = before.groupBy("a.file_name").agg(F.coalesce(F.sum("b.size"), F.lit(0)).alias("before"))
+    return rows.join(before, "file_name").select("ID", (F.col("before") + F.col("row_number")).cast("bigint").alias("place"))
+
+
+@query
+def header_mismatches_found(spark, sf):
+    """Files whose header is another: the columns of a mapping in the other order, a file a nation."""
+    root = scratch_dir(spark, "mismatch")
+    names = MAPPING_COLS[::-1]
+    customers = v.table(spark, sf, "customer").select("c_nationkey", *[F.col("c_name").alias(c) for c in names])
+    out = customers.repartition("c_nationkey").write.partitionBy("c_nationkey").options(**mc.CSV_OPTS)
+    out.option("header", True).csv(f"{root}/in")
+    return mc.header_mismatches(spark, f"{root}/in").select("found")
+
+
 @query
 def header_mismatches(spark, sf):
     """Files whose header is not the export's: there are none."""

@@ -196,4 +196,5 @@ def header_mismatches(spark: SparkSession, path: str, expected: list[str] = MAPP
     first = read_positional(spark, path, len(expected) + 1, max_rows=1)
     found = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(1, len(expected) + 2)])
     wanted = F.array(*[F.lit(name) for name in [*expected, ""]])
-    return first.where(found != wanted).select("file_name", F.concat_ws(",", found).alias("found"))
+    names = [F.col(f"c{i}") for i in range(1, len(expected) + 2)]
+    return first.where(found != wanted).select("file_name", F.concat_ws(",", *names).alias("found"))

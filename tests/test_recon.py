@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from revmap.operators import recon
 from revmap.operators import rebuild as rb
+from revmap.operators import sketches as sk
 
 KEYS, MEASURES = ["id", "data_month", "feed"], ["x", "y"]
 DAY = dt.date(2025, 2, 1)
@@ -124,6 +125,21 @@ def test_both_methods_agree(side, rows, dev, prod):
     assert recon.diff(a, a, KEYS, MEASURES).count() == 0
 
 
+def test_sketches_merge_and_keep_their_bound(spark):
+    df = spark.range(0, 400_000, 1, 8).selectExpr(
+        "IF(id % 10 = 0, NULL, concat('u', id % 90000)) AS user", "add_months(DATE '2024-01-01', CAST(id DIV 50000 AS INT)) AS data_month"
+    )
+    stored = sk.monthly_sketches(df, ["user"])
+    assert stored.count() == 8
+    for lo, hi in ((None, None), ("2024-02-01", "2024-04-01"), ("2024-05-01", "2024-06-01")):
+        some = df if lo is None else recon.date_range(df, lo, hi)
+        exact = some.agg(F.count("*"), F.count_distinct("user")).first()
+        got = sk.distinct_in_range(stored, ["user"], lo, hi).first()
+        assert got.n == exact[0] and abs(got.user_distinct - exact[1]) <= 4 * sk.standard_error() * exact[1]
+    none = sk.distinct_in_range(stored, ["user"], "2030-01-01", "2031-01-01").first()
+    assert (none.n, none.user_distinct) == (0, 0)
+
+
 def test_ranges(spark, rows):
     r = spark.sql("SELECT '210' AS contract_id, explode(sequence(DATE'2025-04-01', DATE'2025-07-01', INTERVAL 1 MONTH)) AS data_month")
     assert recon.contract_rows(r, 210, "2025-04-01", "2025-06-01").count() == 2
