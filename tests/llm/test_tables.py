@@ -110,8 +110,14 @@ def test_query_answers_a_vector_with_a_large_component(spark, tmp_path):
     assert {r.query_id: r.vec_id for r in got} == {0: 1, 20: 40, 40: 39}
 
 
-def test_pipeline(spark):
-    """Each stage's effect on the stage's own input, by the operators' oracles or brute force."""
+def test_pipeline(spark, tmp_path):
+    """Each stage's effect on its whole input, by the operators' SQL, brute force or the usual library."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    from test_dedup import brute_words
+
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     frames = {}
@@ -120,22 +126,37 @@ def test_pipeline(spark):
         docs = corpus_pipeline.stored(stage(spark, docs, sf), name)
         frames[name] = (before, docs)
     columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    for name, (before, after) in frames.items():
+    for before, after in frames.values():
         assert after.columns[:5] == columns and after.count() <= before.count()
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     count = lambda f: {r.toxic: r["count"] for r in f.join(labels, "doc_id").groupBy("toxic").count().collect()}
     before, after = (count(f) for f in frames["toxicity"])
     # There are only some forty toxic documents to learn from here.
     assert after[1] <= 0.5 * before[1] and after[0] >= 0.97 * before[0]
-    from test_dedup import brute_components, brute_words
 
+    def by_sql(name, query):
+        """Rows of an operator's SQL over what its stage was given."""
+        path = str(tmp_path / name)
+        frames[name][0].select(*columns).write.parquet(path)
+        con = connect(sf)
+        con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+        cursor = con.execute(corpus_pipeline.ORACLE[query])
+        names = [c[0] for c in cursor.description]
+        return [dict(zip(names, row, strict=True)) for row in cursor.fetchall()]
+
+    ids = lambda f: {r.doc_id for r in f.select("doc_id").collect()}
+    near = by_sql("minhash_dedup", "op8_minhash_dedup")
+    assert {r["doc_id"] for r in near if r["kept"]} == ids(frames["minhash_dedup"][1]) != ids(frames["minhash_dedup"][0])
     before, after = ([(r.doc_id, r.text) for r in f.collect()] for f in frames["substring_dedup"])
     assert {i: t.split() for i, t in after} == brute_words(before, 50)
-    before, after = ([(r.doc_id, r.text) for r in f.select("doc_id", "text").collect()] for f in frames["minhash_dedup"])
-    some = [x for x in before if x[0] < 300]
-    assert {i for i, (_, c) in brute_components(some).items() if i == c} == {i for i, _ in after if i < 300}
-    last = frames["byte_bpe"][1]
-    assert last.where("round_trip").count() == last.count() == frames["decontamination"][1].count()
+    found = by_sql("decontamination", "op1_decontamination")
+    assert {r["doc_id"] for r in found if not r["contaminated"]} == ids(frames["decontamination"][1]) != ids(frames["decontamination"][0])
+    before, last = frames["byte_bpe"]
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    usual = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    assert {r.doc_id: list(r.ids) for r in last.collect()} == {r.doc_id: usual(r.text or "") for r in before.collect()}
+    assert last.where("round_trip AND n_tokens = size(ids)").count() == before.count()
 
 
 def test_stages_take_odd_and_empty_rows(spark, odd):
@@ -147,5 +168,5 @@ def test_stages_take_odd_and_empty_rows(spark, odd):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in corpus_pipeline.QUERIES}
-    assert names == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert names == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert kd_sharding.SHARDS == 40
