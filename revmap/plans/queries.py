@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from revmap import texts
 from revmap.functions.columns import has_special_chars, split_fields
+from revmap.functions.dates import run_stamp
 from revmap.operators import coverage as cov
 from revmap.operators import export_qa as qa
 from revmap.operators import mapping as mp
@@ -636,6 +637,48 @@ def header_validation(spark, sf):
     return _header_counts(qa.header_validation(raw), "validation_result")
 
 
+def _nation_files(spark, sf, root):
+    """A file of two lines for each nation. The first line is, by the nation's number: the
+    export's header, a text with a dot, a number, or a short word; the second is data."""
+    kind = F.col("n_nationkey") % 4
+    first = F.when(kind == 0, EXPORT_HEADER[0]).when(kind == 1, F.concat(F.lit("a."), "n_name"))
+    first = first.when(kind == 2, F.col("n_nationkey").cast("string")).otherwise("word")
+    rest = [F.when(kind == 0, EXPORT_HEADER[i]).otherwise(F.lit(f"x{i}")) for i in (1, 2)]
+    nation = v.table(spark, sf, "nation")
+    lines = [nation.select("n_nationkey", F.lit(1).alias("line"), F.concat_ws(",", first, *rest).alias("value"))]
+    lines.append(nation.select("n_nationkey", F.lit(2).alias("line"), F.concat_ws(",", "n_name", "n_nationkey", F.repeat(F.lit("long "), 30)).alias("value")))
+    out = lines[0].unionByName(lines[1]).repartition("n_nationkey").sortWithinPartitions("n_nationkey", "line").drop("line")
+    out.write.partitionBy("n_nationkey").text(f"{root}/in")
+    return f"{root}/in"
+
+
+@query
+def header_verdicts(spark, sf):
+    """All four verdicts on a first line, and both of the validation."""
+    raw = mc.read_positional(spark, _nation_files(spark, sf, scratch_dir(spark, "verdicts")), 5, max_rows=1)
+    checked = qa.header_check(raw, escape_underscore=True).select("header_check_status", F.col("first_column_sample").alias("first"))
+    validated = qa.header_validation(raw).select("validation_result", F.col("first_column").alias("first"))
+    return checked.distinct().join(validated.distinct(), "first")
+
+
+@query
+def preview_texts(spark, sf):
+    """The text that a preview shows of the first two lines of every file."""
+    raw = mc.read_positional(spark, _nation_files(spark, sf, scratch_dir(spark, "previews")), 5, max_rows=2)
+    return qa.preview_rows(raw).select("row_num", "row_type", "col1", "first_three_cols_preview")
+
+
+@query
+def header_counts(spark, sf):
+    """All three outcomes of the count: of files with a header, without, and with rows that are missing."""
+    raw = mc.read_positional(spark, _nation_files(spark, sf, scratch_dir(spark, "counts")), 5)
+    nation = v.table(spark, sf, "nation")
+    files = nation.count()
+    both = nation.unionByName(nation)
+    some = [qa.header_by_count(raw, src, files=files) for src in (nation, both, nation.where("n_nationkey < 3"))]
+    return some[0].unionByName(some[1]).unionByName(some[2])
+
+
 @query
 def header_by_count(spark, sf):
     """Rows of a header-less export against the view."""
@@ -799,6 +842,21 @@ def table_rebuild(spark, sf):
     return tb.rebuild_table(spark, path, lambda m: dq.typed(m, require_id=True))
 
 
+@query
+def catalog_table(spark, sf):
+    """A mapping saved as a table of the catalog, its column list, and a report with the time
+    of its run appended to another twice."""
+    name, root = f"revmap_mapping_{scratch_dir(spark, 'catalog')[-32:]}", scratch_dir(spark, "catalog")
+    tb.save_as_table(v.mapping_full(spark, sf), name)
+    counted = spark.table(name).agg(F.count("*").alias("n"))
+    stamped = counted.withColumn("run", run_stamp(RUN_TS))
+    tb.append_rows(stamped, f"{root}/log")
+    log = tb.append_rows(stamped, f"{root}/log").agg(F.sum("n").alias("n"), F.date_format(F.max("run"), "yyyy-MM-dd HH:mm:ss").alias("run"))
+    found = tb.store_rows(log.withColumn("columns", F.lit(tb.column_list(spark.table(name), upper=True))), f"{root}/found")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query
 def table_versions(spark, sf):
     """What readers of a table get while it is loaded: the rows before the switch and
