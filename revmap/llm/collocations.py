@@ -160,8 +160,8 @@ def _packed(parts: list[pa.RecordBatch], buckets: int) -> pa.RecordBatch:
     order = np.argsort(bucket, kind="stable")
     counts, bucket = counts.take(pa.array(order)).combine_chunks(), bucket[order]
     found, first = np.unique(bucket, return_index=True)
-    rows = []
-    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+    rows, edges = [], [*first.tolist(), len(bucket)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, _WORDS, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
             out.write_table(counts.slice(a, b - a))
