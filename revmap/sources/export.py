@@ -106,7 +106,7 @@ def export_csv(
     elif max_records is None:
         # No file of less than MIN_FILE_BYTES for the sake of more tasks.
         even = max(MIN_FILE_BYTES, -(-size // spark.sparkContext.defaultParallelism))
-        out = _cut_at_bytes(df, order_by, min(room, even))
+        out = _cut_at_bytes(df, order_by, min(room, even), size)
     elif order_by is not None:
         out = ordered_by(df.drop(_SIZE, _ROW), F.asc_nulls_last(order_by))
     else:
@@ -156,8 +156,8 @@ def _measure(df: DataFrame, month_col: str | None) -> Row:
     return df.agg(month.alias("month"), F.count("*").alias("n"), F.sum(_SIZE).alias("bytes"), replaced.alias("replaced")).first()
 
 
-def _cut_at_bytes(df: DataFrame, order_by: str | None, cap: int) -> DataFrame:
-    """``df`` in one partition a file of at most ``cap`` bytes, in order.
+def _cut_at_bytes(df: DataFrame, order_by: str | None, cap: int, size: int) -> DataFrame:
+    """``df``, of ``size`` bytes, in one partition a file of at most ``cap`` bytes, in order.
 
     Sizes and sort keys alone are sorted by range; running sums of bytes cut each range
     into chunks of a quarter of ``cap`` at most. One row a chunk comes to the driver,
@@ -165,6 +165,8 @@ def _cut_at_bytes(df: DataFrame, order_by: str | None, cap: int) -> DataFrame:
     file, found by its first row, and are sorted there."""
     spark = df.sparkSession
     key, kind = _sort_key(df, order_by)
+    if size <= cap:
+        return df.repartition(1).sortWithinPartitions(key.isNull(), key, _ROW)
     narrow = df.select(key.alias("key"), key.isNull().alias("none"), F.col(_ROW).alias("row"), F.col(_SIZE).alias("size"))
     order = [F.col("none"), F.col("key"), F.col("row")]
     chunks = narrow.orderBy(*order).mapInArrow(
