@@ -104,10 +104,20 @@ def diff(
     return found.orderBy(order_by, *[k for k in keys if k != order_by])
 
 
+def _apart(keys: list[str], date_keys: list[str], text: str, date: str) -> list:
+    """The values of ``_keys`` by another expression. Spark notes that a row's block is the
+    hash of these and, for each of them that a later projection names, keeps a note with
+    and one without the name: with the expressions of ``_keys``, two to the power of their
+    number, which is more than the driver holds."""
+    kinds = [("date", date) if k in date_keys else ("string", text) for k in keys]
+    given = [(F.col(k).cast(kind), F.lit(value).cast(kind)) for k, (kind, value) in zip(keys, kinds, strict=True)]
+    return [F.when(key.isNull(), missing).otherwise(key) for key, missing in given]
+
+
 def _blocked(df: DataFrame, keys: list[str], month: str, buckets: int, texts: tuple[str, str, list[str]]) -> DataFrame:
     """``df`` with its block: month, and a bucket of the keys as the comparison reads them."""
     key_sentinel, date_sentinel, dates = texts
-    named = _keys(keys, dates, key_sentinel, date_sentinel)
+    named = _apart(keys, dates, key_sentinel, date_sentinel)
     of_month = named[keys.index(month)] if month in keys else F.col(month)
     bucket = F.pmod(F.xxhash64(*named), F.lit(buckets))
     return df.withColumns({"block_month": of_month, "block_bucket": bucket})
@@ -190,7 +200,8 @@ def diff_blocks(
     def changed(df: DataFrame) -> DataFrame:
         mine = _blocked(df, keys, month, buckets, (key_sentinel, date_sentinel, dates))
         same = blocks.select(*[F.col(c).alias(f"changed_{c}") for c in block])
-        met = F.col("block_month").eqNullSafe(F.col("changed_block_month")) & (F.col("block_bucket") == F.col("changed_block_bucket"))
+        # Null-safe, so that Spark infers no filter on the hash, which it would note like the hash.
+        met = all_of([F.col(c).eqNullSafe(F.col(f"changed_{c}")) for c in block])
         return mine.join(same, met, "left_semi").select(*df.columns)
 
     return diff(changed(left), changed(right), keys, measures, tol=tol, names=names, order_by=order_by, **how)
