@@ -40,7 +40,7 @@ WINDOW, ANCHOR = 100, 20
 #: Runs in a group of anchors, about; an anchor with more different runs than HOT is dealt to several groups.
 GROUP_RUNS, HOT = 8_000, 50_000
 #: Suffixes that are put in order at once, in bytes.
-ORDER_BYTES = 64 << 20
+ORDER_BYTES = 16 << 20
 
 _RUN = "within boolean, route bigint, known boolean, anchor bigint, path bigint, start int, n int"
 
@@ -157,15 +157,16 @@ def longest_previous_factors(data: np.ndarray, start: np.ndarray, prefix: np.nda
         if k and int(edges[k - 1]) > at:
             end = int(edges[k - 1])
         some = blocked[at:end]
-        rows = data[start[some][:, None] + np.arange(depth)]
-        some, rows = some[order := np.argsort(position[some], kind="stable")], rows[order]
-        order = np.argsort(np.ascontiguousarray(rows).view(f"S{depth}").ravel(), kind="stable")
+        some = some[np.argsort(position[some], kind="stable")]
+        # Taken from a view: places of single bytes would be eight times the bytes.
+        rows = np.lib.stride_tricks.sliding_window_view(data, depth)[start[some]]
+        order = np.argsort(rows.view(f"S{depth}").ravel(), kind="stable")
         some, rows = some[order], rows[order]
-        differ = rows[1:] != rows[:-1]
-        lcp = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), depth)])
-        # The first entry of each stretch of equal bytes, and of each position within it.
+        fresh = np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])
+        del rows
+        # The first entry of each stretch of equal bytes.
         index, p = np.arange(len(some)), position[some]
-        head = np.maximum.accumulate(np.where(lcp < depth, index, 0))
+        head = np.maximum.accumulate(np.where(fresh, index, 0))
         found[some] = np.where(p > p[head], depth, 0)
         at = end
     return found
@@ -241,7 +242,8 @@ def _first_of_all(window: int):
 
     def run(rows: pa.Table) -> pa.Table:
         table = pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in rows["packed"]]).combine_chunks()
-        ids = np.unique(np.array(table["id"].to_pylist()), return_inverse=True)[1]
+        known = table["id"].combine_chunks().dictionary_encode()
+        ids = np.unique(np.array(known.dictionary.to_pylist()), return_inverse=True)[1][known.indices.to_numpy()]
         prefix, other = table["prefix"].to_numpy(), table["other"].to_numpy()
         order = np.lexsort((ids, other, prefix))
         new = np.ones(len(order), bool)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from revmap.llm import minhash_dedup, suffix_dedup
+from revmap.llm import sequences as seq
 from revmap.llm.components import components
 from revmap.llm.minhash_dedup import near_duplicates
 from revmap.llm.substring_dedup import remove_repeats
@@ -106,6 +109,19 @@ def test_longest_previous_factors(monkeypatch, collide, room):
     assert not len(suffix_dedup.longest_previous_factors(data, start[:0], prefix[:0], position[:0], depth))
 
 
+def test_suffixes_of_a_repetitive_text_are_ordered_in_little_memory():
+    # Places of single bytes, gathered one by one, took 549 MB of a task here.
+    data = np.tile(np.random.default_rng(5).integers(97, 101, 4000).astype(np.uint8), 150)
+    start = np.arange(len(data) - 99)
+    prefix = seq.Hasher(seq.BYTE_SYMBOL[data]).windows(100)
+    tracemalloc.start()
+    found = suffix_dedup.longest_previous_factors(data, start, prefix, start, 100)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found[4000:] == 100).all() and not found[:4000].any()
+    assert most < 128 << 20
+
+
 def test_query_against_brute_force(spark):
     """The five columns over the whole table."""
     rows = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
