@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revmap import texts
@@ -706,9 +706,14 @@ def export_order(spark, sf):
     docs = v.table(spark, sf, "orders").select(F.expr("IF(o_orderkey % 50 = 0, NULL, concat('O', o_custkey))").alias("ID"), "o_orderkey")
     path = ex.export_csv(docs, root, PREFIX, as_of=AS_OF, header=False, max_bytes=16 << 10, run_ts=RUN_TS).first().path
     rows = mc.read_positional(spark, path, 2, names=["ID", "o_orderkey"], multi_line=False)
-    sizes = rows.groupBy("file_name").agg(F.count("*").alias("size"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.file_name") < F.col("a.file_name"), "left")
-    before = before.groupBy("a.file_name").agg(F.coalesce(F.sum("b.size"), F.lit(0)).alias("before"))
+    sizes = rows.groupBy("file_name", F.substring("file_name", 1, 8).alias("hundred")).agg(F.count("*").alias("size"))
+    sizes = tb.store_rows(sizes, scratch_dir(spark, "sizes"))
+    # Rows before a file: those of earlier hundreds of files, and of earlier files of its own.
+    hundreds = sizes.groupBy("hundred").agg(F.sum("size").alias("size"))
+    pairs = hundreds.alias("a").join(hundreds.alias("b"), F.col("b.hundred") < F.col("a.hundred"), "left")
+    earlier = pairs.groupBy("a.hundred").agg(F.coalesce(F.sum("b.size"), F.lit(0)).alias("earlier"))
+    own = F.sum("size").over(Window.partitionBy("hundred").orderBy("file_name")) - F.col("size")
+    before = sizes.withColumn("own", own).join(earlier, "hundred").select("file_name", (F.col("earlier") + F.col("own")).alias("before"))
     return rows.join(before, "file_name").select("ID", (F.col("before") + F.col("row_number")).cast("bigint").alias("place"))
 
 

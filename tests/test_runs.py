@@ -207,3 +207,11 @@ def test_month_reaches_the_scan_and_columns_are_pruned(spark):
 def test_comparison_shuffles_its_rows_once(spark):
     plan = QUERIES["recon_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_export_order_compares_hundreds_of_files_not_files(spark):
+    # Every file met every earlier one, and the files were read for each of the two sides.
+    plan = QUERIES["export_order"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    loop = plan.index("BroadcastNestedLoopJoin") if "BroadcastNestedLoopJoin" in plan else plan.index("CartesianProduct")
+    assert "hundred#" in plan[loop:].split("\n", 1)[0] and "file_name#" not in plan[loop:].split("\n", 1)[0]
